@@ -33,8 +33,10 @@ def update_from(
     before the join so the target never multiplies. ``unique`` says the source
     has one row per key and saves that step.
     """
-    fields = [c for c in source.columns]
-    row = F.struct(*[F.col(c) for c in fields])
+    unknown = set(sets) - set(target.columns)
+    if unknown:
+        raise ValueError(f"the table has no column {sorted(unknown)}")
+    row = F.struct(*[F.col(c) for c in source.columns])
     keys = [F.col(s).alias(f"_key_{i}") for i, s in enumerate(on.values())]
     key_names = [f"_key_{i}" for i in range(len(on))]
     usable = reduce(Column.__and__, [F.col(s).isNotNull() for s in on.values()])

@@ -164,8 +164,8 @@ _PHASE_SERIES_SQL = """
 _PHASE_SQL = f"""
     WITH s AS ({_PHASE_SERIES_SQL}),
     f AS (SELECT user_id AS id, min(ts) AS t FROM events GROUP BY user_id)
-    SELECT s.id, ((day(t) - 1) * 1440 + hour(t) * 60 + minute(t))
-                 % CASE time_step_id WHEN 1 THEN 10 WHEN 2 THEN 60 WHEN 3 THEN 1440 WHEN 6 THEN 5 END AS phase
+    SELECT s.id, CAST(((day(t) - 1) * 1440 + hour(t) * 60 + minute(t))
+                 % CASE time_step_id WHEN 1 THEN 10 WHEN 2 THEN 60 WHEN 3 THEN 1440 WHEN 6 THEN 5 END AS INTEGER) AS phase
     FROM s JOIN f ON f.id = s.id WHERE time_step_id IN (1, 2, 3, 6) AND nominal_offset_minutes IS NOT NULL
 """
 
