@@ -4,27 +4,64 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.operators.skew import GROUP_ROWS, ordered_ranges, split_large_groups, unpacked
 
+# Folders a series store is divided into; each holds the series of one hash value.
+SERIES_BUCKETS = 64
 
-def write_series(records: DataFrame, path: str, group_rows: int = GROUP_ROWS) -> None:
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col("id").cast("long")), F.lit(buckets)).cast("int")
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def write_series(
+    records: DataFrame, path: str, buckets: int = SERIES_BUCKETS, group_rows: int = GROUP_ROWS
+) -> None:
     """Replace the stored records of the series that occur in ``records``.
 
-    Stored as one parquet folder per series; other series stay untouched. Rows
-    are partitioned by ranges of id and time, so a long series is written by
-    several tasks; series too large for that alone are packed and spread first.
+    The store is parquet in one folder per hash bucket of the id, so the number
+    of files does not follow the number of series. Only the buckets of the
+    replaced series are read and written again; their other series are copied.
+    The overwrite is staged, so the records may come from the store itself. A
+    long series spans several tasks and files. A store keeps the number of
+    buckets it was first written with.
     """
-    small, large = split_large_groups(records, ["id"], group_rows)
+    spark = records.sparkSession
+    stored = _stored(spark, path)
+    rows = records.withColumn("bucket", _bucket(buckets))
+    if stored is not None:
+        replaced = rows.select("bucket", F.col("id").alias("_replaced")).distinct()
+        touched = [r["bucket"] for r in replaced.select("bucket").distinct().collect()]
+        kept = stored.where(F.col("bucket").isin(touched)).join(
+            replaced.select("_replaced"), F.col("id") == F.col("_replaced"), "left_anti"
+        )
+        rows = rows.unionByName(kept.select(*rows.columns))
+    small, large = split_large_groups(rows, ["id"], group_rows)
     pieces = []
     if small is not None:
-        pieces.append(small.repartitionByRange("id", "ts").sortWithinPartitions("id", "ts"))
+        pieces.append(small.repartitionByRange("bucket", "id", "ts").sortWithinPartitions("bucket", "id", "ts"))
     if large is not None:
-        pieces.append(unpacked(ordered_ranges(large, ["id", "ts"])).select(*records.columns))
-    rows = pieces[0] if len(pieces) == 1 else pieces[0].unionAll(pieces[1])
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("id").parquet(path)
+        pieces.append(unpacked(ordered_ranges(large, ["bucket", "id", "ts"])).select(*rows.columns))
+    out = pieces[0] if len(pieces) == 1 else pieces[0].unionAll(pieces[1])
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+
+
+def read_series(spark: SparkSession, path: str) -> DataFrame:
+    """The stored records."""
+    return spark.read.parquet(path).drop("bucket")
 
 
 def write_tables(tables: Mapping[str, DataFrame], out: str, prefix: str = "", mode: str = "append") -> dict[str, str]:
@@ -34,8 +71,3 @@ def write_tables(tables: Mapping[str, DataFrame], out: str, prefix: str = "", mo
         written[name] = f"{out.rstrip('/')}/{prefix}{name}"
         table.write.mode(mode).parquet(written[name])
     return written
-
-
-def read_series(spark, path: str) -> DataFrame:
-    """The stored records."""
-    return spark.read.parquet(path).select("id", "ts", "value", F.col("flags"))
