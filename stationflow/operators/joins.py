@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.functions.text import word
+from stationflow.operators.skew import one_per_key
 
 
 def members(df: DataFrame, column: str | Column, other: DataFrame, key: str) -> DataFrame:
     """Rows whose column occurs among the other table's keys (``IN``)."""
     column = F.col(column) if isinstance(column, str) else column
-    keys = other.select(F.col(key).alias("_member")).where(F.col("_member").isNotNull()).distinct()
+    present = other.select(F.col(key).alias("_member")).where(F.col("_member").isNotNull())
+    keys = one_per_key(present, ["_member"])
     return df.join(keys, column == F.col("_member"), "left_semi")
 
 
@@ -30,7 +32,7 @@ def not_in(df: DataFrame, column: str, other: DataFrame, key: str) -> DataFrame:
         F.coalesce(F.bool_or(F.col("_key").isNull()), F.lit(False)).alias("has_null"),
         (F.count("*") == 0).alias("empty"),
     )
-    present = keys.where(F.col("_key").isNotNull()).distinct()
+    present = one_per_key(keys.where(F.col("_key").isNotNull()), ["_key"])
     left = df.join(present, F.col(column) == F.col("_key"), "left_anti")
     has_null = facts.select("has_null").scalar()
     empty = facts.select("empty").scalar()
@@ -77,7 +79,7 @@ def match_names(
     which bounds the result by the size of ``df``.
     """
     if one_per_name:
-        people = people.groupBy(last, first).agg(F.min(key).alias(key))
+        people = one_per_key(people, [last, first], F.min(key).alias(key))
     named = people.select(F.col(last).alias("_last"), F.col(first).alias("_first"), F.col(key).alias("person_id"))
     matched = (word(full_name, 1) == F.col("_last")) & (word(full_name, 2) == F.col("_first"))
     return df.join(named, matched, "inner").drop("_last", "_first")

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.functions.records import is_month_start
+from stationflow.operators.skew import one_per_key
 
 
 def fk_violations(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose non-NULL foreign key has no parent."""
-    keys = parent.select(F.col(pk).alias("_pk")).distinct()
+    keys = one_per_key(parent.select(F.col(pk).alias("_pk")), ["_pk"])
     return child.where(F.col(fk).isNotNull()).join(keys, F.col(fk) == F.col("_pk"), "left_anti")
 
 

@@ -19,7 +19,7 @@ from stationflow.functions.records import (
 from stationflow.functions.text import first_stamp, minute_stamp, number_text
 from stationflow.operators.documents import ordered_text
 from stationflow.operators.joins import members
-from stationflow.operators.skew import GROUP_ROWS
+from stationflow.operators.skew import GROUP_ROWS, one_per_key
 from stationflow.operators.tables import stack
 from stationflow.operators.updates import new, update_from
 
@@ -32,7 +32,7 @@ def series_ids(kinds: Mapping[str, DataFrame]) -> DataFrame:
 
 def merged_kinds(numbers: DataFrame, texts: DataFrame) -> DataFrame:
     """Records of both kinds; of an id found in both, only the text records remain."""
-    taken = texts.select(F.col("id").alias("_taken")).distinct()
+    taken = one_per_key(texts.select(F.col("id").alias("_taken")), ["_taken"])
     kept = numbers.join(taken, F.col("id") == F.col("_taken"), "left_anti")
     return stack(kept, texts)
 
@@ -88,7 +88,8 @@ def shifted_series(
 
     ``keep_others`` also returns the other records, unmoved.
     """
-    chosen = series.where(F.col("time_step_id").isin(*steps)).select(F.col("id").alias("_chosen")).distinct()
+    stepped = series.where(F.col("time_step_id").isin(*steps)).select(F.col("id").alias("_chosen"))
+    chosen = one_per_key(stepped, ["_chosen"])
     moved = F.col("ts") + F.make_dt_interval(hours=F.lit(hours))
     same = F.col("id") == F.col("_chosen")
     if not keep_others:

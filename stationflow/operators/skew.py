@@ -40,6 +40,18 @@ def split_large_groups(
     return rows.join(marked, same, "left_anti"), rows.join(marked, same, "left_semi")
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:
+    """One row per key, for use as one side of a join.
+
+    The rows are grouped by the keys and their hash. That gives the same groups
+    but another partitioning, so the join shuffles both sides itself; only then
+    can adaptive execution split a key that is frequent on the other side.
+    Frequent keys on this side are combined before the shuffle.
+    """
+    grouped = df.groupBy(*keys, F.xxhash64(*keys).alias("_hash"))
+    return (grouped.agg(*aggregates) if aggregates else df.select(*keys, F.xxhash64(*keys).alias("_hash")).distinct()).drop("_hash")
+
+
 def slabs(df: DataFrame) -> DataFrame:
     """Equal rows packed into slabs: the distinct rows with ``_slab`` and ``_copies``.
 

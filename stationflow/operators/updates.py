@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.operators.joins import not_in
+from stationflow.operators.skew import one_per_key
 from stationflow.operators.tables import append
 
 
@@ -37,15 +38,15 @@ def update_from(
     if unknown:
         raise ValueError(f"the table has no column {sorted(unknown)}")
     row = F.struct(*[F.col(c) for c in source.columns])
-    keys = [F.col(s).alias(f"_key_{i}") for i, s in enumerate(on.values())]
+    sources = [F.col(s) for s in on.values()]
     key_names = [f"_key_{i}" for i in range(len(on))]
     usable = reduce(Column.__and__, [F.col(s).isNotNull() for s in on.values()])
     keyed = source.where(usable)
     if unique:
-        picked = keyed.select(*keys, row.alias("_new"))
+        picked = keyed.select(*[s.alias(k) for s, k in zip(sources, key_names)], row.alias("_new"))
     else:
         best = F.min_by(row, F.struct(*[F.col(c) for c in order])) if order else F.min(row)
-        picked = keyed.groupBy(*keys).agg(best.alias("_new"))
+        picked = one_per_key(keyed.withColumns(dict(zip(key_names, sources))), key_names, best.alias("_new"))
     same = [F.col(t) == F.col(k) for t, k in zip(on, key_names)]
     joined = target.join(picked, same, "left")
     matched = F.col("_new").isNotNull()
@@ -60,7 +61,8 @@ def update_where_in(
     target: DataFrame, key: str, other: DataFrame, other_key: str, sets: Mapping[str, Column]
 ) -> DataFrame:
     """Set columns on the rows whose key occurs in another table."""
-    keys = other.select(F.col(other_key).alias("_member")).where(F.col("_member").isNotNull()).distinct()
+    present = other.select(F.col(other_key).alias("_member")).where(F.col("_member").isNotNull())
+    keys = one_per_key(present, ["_member"])
     joined = target.join(keys, F.col(key) == F.col("_member"), "left")
     found = F.col("_member").isNotNull()
     return joined.select(

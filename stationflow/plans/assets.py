@@ -23,16 +23,16 @@ from stationflow.operators.updates import (
     update_where_in,
 )
 from stationflow.plans.common import (
+    DETAILS,
     Source,
     Tables,
     Target,
-    add_remarks,
     curve_columns,
+    detail_sets,
     entity_texts,
     file_columns,
     loadable_series,
     series_columns,
-    set_divisions,
 )
 from stationflow.sinks.files import Written, write_blobs
 
@@ -215,33 +215,30 @@ def add_missing_boreholes(target: Target, boreholes: DataFrame) -> None:
 def completed_entities(entities: DataFrame, links: DataFrame, source: Source) -> DataFrame:
     """Texts, division, basin and remarks of the entities behind the assets.
 
-    The links pair each entity with its source key, so all updates match on the
-    entity's id and the entities are partitioned by it once.
+    The links are widened with everything known about their source key, which
+    needs one partitioning of the links, and update the entities in one join.
+    The texts reset the divisions; details and basins then set them again.
     """
-    pairs = links.select("entity_id", "source_id")
+    def keyed(df: DataFrame, key: str, *columns: Column | str) -> DataFrame:
+        return df.select(F.col("id").alias(key), *columns)
 
-    def linked(df: DataFrame, *columns: str) -> DataFrame:
-        return pairs.join(df.select(F.col("id").alias("_id"), *columns), F.col("source_id") == F.col("_id"))
-
-    texts = source["gentities"].select("id", *[c.alias(n) for n, c in entity_texts().items()])
     names = list(entity_texts())
-    no_id = F.lit(None).cast("int")
-    result = update_from(
-        entities, linked(texts, *names), {"id": "entity_id"},
-        {
-            "water_basin_id": no_id, "water_division_id": no_id, "political_division_id": no_id,
-            **{n: new(n) for n in names},
-        },
-    )
-    details = source["gentities_real"]
-    real = linked(details, "prefecture", "location", "location_en", "municipality", "municipality_en")
-    result = set_divisions(result, real, "entity_id")
-    basins = source["gpoints"].select("id", "basin").join(details.select("id"), "id")
-    result = update_from(
-        result, linked(basins, "basin"), {"id": "entity_id"}, {"water_basin_id": new("basin") + BASINS}
-    )
-    result = add_remarks(result, real, "entity_id", values.LOCATION_LABELS, "location", "location_en")
-    return add_remarks(result, real, "entity_id", values.MUNICIPALITY_LABELS, "municipality", "municipality_en")
+    texts = keyed(source["gentities"], "_text", *[c.alias(n) for n, c in entity_texts().items()])
+    details = keyed(source["gentities_real"], "_detail", *DETAILS)
+    basins = keyed(source["gpoints"], "_basin", "basin")
+    known = links.select("entity_id", "source_id")
+    for key, table in (("_text", texts), ("_detail", details), ("_basin", basins)):
+        known = known.join(table, F.col("source_id") == F.col(key), "left")
+
+    has_text, has_detail = new("_text").isNotNull(), new("_detail").isNotNull()
+    has_basin = has_detail & new("_basin").isNotNull()
+    sets = {n: F.when(has_text, new(n)).otherwise(F.col(n)) for n in names}
+    reset = lambda column: F.when(~has_text, F.col(column))
+    for column, value in detail_sets(sets["remarks"], sets["remarks_alt"]).items():
+        sets[column] = F.when(has_detail, value).otherwise(sets.get(column, reset(column)))
+    sets["water_division_id"] = reset("water_division_id")
+    sets["water_basin_id"] = F.when(has_basin, new("basin") + BASINS).otherwise(reset("water_basin_id"))
+    return update_from(entities, known, {"id": "entity_id"}, sets)
 
 
 def cross_sections(sections: DataFrame) -> DataFrame:

@@ -27,6 +27,10 @@ Tables = dict[str, DataFrame]
 Source = Mapping[str, DataFrame]
 
 
+# The columns of the source's detail rows.
+DETAILS = ("prefecture", "location", "location_en", "municipality", "municipality_en")
+
+
 class Target:
     """The target tables while a plan adds to them."""
 
@@ -89,6 +93,22 @@ def entity_texts() -> dict[str, Column]:
     }
 
 
+def detail_sets(remarks: Column | str, remarks_alt: Column | str) -> dict[str, Column]:
+    """Division, location and municipality from the source's detail row, in one update.
+
+    An unmapped prefecture gives a NULL division.
+    """
+    def appended(remark: Column | str, language: int, suffix: str) -> Column:
+        located = append_remark(remark, values.LOCATION_LABELS[language], new(f"location{suffix}"))
+        return append_remark(located, values.MUNICIPALITY_LABELS[language], new(f"municipality{suffix}"))
+
+    return {
+        "political_division_id": prefecture_division(new("prefecture")),
+        "remarks": appended(remarks, 0, ""),
+        "remarks_alt": appended(remarks_alt, 1, "_en"),
+    }
+
+
 def add_remarks(
     entities: DataFrame, details: DataFrame, key: str, labels: tuple[str, str], value: str, value_alt: str
 ) -> DataFrame:
@@ -102,14 +122,6 @@ def add_remarks(
     )
 
 
-def set_divisions(entities: DataFrame, details: DataFrame, key: str) -> DataFrame:
-    """Set the political division from the prefecture; an unmapped prefecture gives NULL."""
-    return update_from(
-        entities, details.select(key, "prefecture"), {"id": key},
-        {"political_division_id": prefecture_division(new("prefecture"))},
-    )
-
-
 def file_columns(media_name: str) -> dict[str, Column | str]:
     """The columns of a file row except its entity."""
     return {

@@ -22,16 +22,17 @@ from stationflow.operators.tables import (
 )
 from stationflow.operators.updates import new, update_from
 from stationflow.plans.common import (
+    DETAILS,
     Source,
     Tables,
     Target,
     add_remarks,
     curve_columns,
+    detail_sets,
     entity_texts,
     file_columns,
     loadable_series,
     series_columns,
-    set_divisions,
 )
 from stationflow.sinks.files import Written, write_blobs
 
@@ -72,19 +73,19 @@ def entity_rows(entities: DataFrame) -> DataFrame:
 def completed_entities(entities: DataFrame, source: Source) -> DataFrame:
     """Divisions, basins and remarks taken from the tables around the entity.
 
-    All updates but the last match on the entity's id, so the entities are
-    partitioned by it once; each source table is partitioned once.
+    One update per source table. All but the last match on the entity's id, so
+    the entities are partitioned by it once.
     """
     shifted = lambda df: df.withColumn("_entity", offset_key("id", ENTITIES))
     real, stations = shifted(source["gentities_real"]), shifted(source["stations"])
     known = members(source["gpoints"], "id", source["gentities"], "id")
-    result = set_divisions(entities, real, "_entity")
+    result = update_from(
+        entities, real.select("_entity", *DETAILS), {"id": "_entity"}, detail_sets("remarks", "remarks_alt")
+    )
     result = update_from(
         result, shifted(known).select("_entity", "basin"), {"id": "_entity"},
         {"water_basin_id": new("basin") + ENTITIES},
     )
-    result = add_remarks(result, real, "_entity", values.LOCATION_LABELS, "location", "location_en")
-    result = add_remarks(result, real, "_entity", values.MUNICIPALITY_LABELS, "municipality", "municipality_en")
     result = add_remarks(result, stations, "_entity", values.OBSERVER_LABELS, "observer", "observer_en")
     basins = shifted(source["basins"]).select("_entity", "water_district")
     return update_from(

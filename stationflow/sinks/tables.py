@@ -8,7 +8,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.operators.skew import GROUP_ROWS, ordered_ranges, split_large_groups, unpacked
+from stationflow.operators.skew import (
+    GROUP_ROWS,
+    one_per_key,
+    ordered_ranges,
+    split_large_groups,
+    unpacked,
+)
 
 # Folders a series store is divided into; each holds the series of one hash value.
 SERIES_BUCKETS = 64
@@ -43,10 +49,10 @@ def write_series(
     stored = _stored(spark, path)
     rows = records.withColumn("bucket", _bucket(buckets))
     if stored is not None:
-        replaced = rows.select("bucket", F.col("id").alias("_replaced")).distinct()
-        touched = [r["bucket"] for r in replaced.select("bucket").distinct().collect()]
+        replaced = one_per_key(rows.select(F.col("id").alias("_replaced")), ["_replaced"])
+        touched = [r["bucket"] for r in rows.select("bucket").distinct().collect()]
         kept = stored.where(F.col("bucket").isin(touched)).join(
-            replaced.select("_replaced"), F.col("id") == F.col("_replaced"), "left_anti"
+            replaced, F.col("id") == F.col("_replaced"), "left_anti"
         )
         rows = rows.unionByName(kept.select(*rows.columns))
     small, large = split_large_groups(rows, ["id"], group_rows)
