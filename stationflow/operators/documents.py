@@ -19,17 +19,22 @@ from stationflow.session import cut_lineage
 DOCUMENT_BYTES = 1 << 30
 
 
-def _prepared(df: DataFrame, keys: Sequence[str], order: Sequence[str], line: Column) -> DataFrame:
-    order_columns = [F.col(c).alias(f"_order_{i}") for i, c in enumerate(order)]
-    return df.select(*keys, *order_columns, line.alias("_line"))
+def _joined(line: str, order: Sequence[str], sep: str) -> Column:
+    """The lines of a group in order (NULLs last), ``sep`` between; absent lines are left out."""
+    escaped = sep.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n").replace("\r", "\\r")
+    sort = ", ".join(f"`{c}` ASC NULLS LAST" for c in order)
+    text = F.expr(f"listagg(`{line}`, '{escaped}') WITHIN GROUP (ORDER BY {sort})")
+    return F.coalesce(text, F.lit(""))
 
 
-def _sort_fields(order: Sequence[str]) -> list[Column]:
-    """Fields whose struct order is ascending with NULLs last."""
-    fields = []
-    for i in range(len(order)):
-        fields += [F.col(f"_order_{i}").isNull().alias(f"_null_{i}"), F.col(f"_order_{i}")]
-    return fields
+def _prepared(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], line: Column, others: bool = False
+) -> tuple[DataFrame, list[str]]:
+    """The keys, the order columns under own names and the line, computed before any shuffle."""
+    names = {f"_order_{i}": F.col(c) for i, c in enumerate(order)}
+    if others:
+        return df.withColumns({**names, "_line": line}), list(names)
+    return df.select(*keys, *[c.alias(n) for n, c in names.items()], line.alias("_line")), list(names)
 
 
 def ordered_parts(
@@ -41,14 +46,12 @@ def ordered_parts(
     over as many parts as it needs and no task holds a whole key. Reading the
     parts in order, with ``sep`` between them, gives the document.
     """
-    base = _prepared(df, keys, order, line)
-    names = [f"_order_{i}" for i in range(len(order))]
-    ranged = ordered_ranges(base, [*keys, *names]).withColumn("_range", F.spark_partition_id())
-    entry = F.struct(*_sort_fields(order), F.col("_line"), F.col("_slab"), F.col("_copies"))
-    repeated = F.flatten(
-        F.transform(F.array_sort(F.collect_list(entry)), lambda e: F.array_repeat(e["_line"], e["_copies"]))
+    base, names = _prepared(df, keys, order, line)
+    repeated = F.array_join(F.array_repeat("_line", F.col("_copies")), sep)
+    ranged = ordered_ranges(base, [*keys, *names]).withColumns(
+        {"_range": F.spark_partition_id(), "_text": F.when(F.col("_line").isNotNull(), repeated)}
     )
-    texts = ranged.groupBy(*keys, "_range").agg(F.array_join(repeated, sep).alias(name))
+    texts = ranged.groupBy(*keys, "_range").agg(_joined("_text", [*names, "_line", "_slab"], sep).alias(name))
     # A key has at most one part per range partition.
     number = F.row_number().over(Window.partitionBy(*keys).orderBy("_range"))
     return texts.select(*keys, number.alias("part"), name)
@@ -68,19 +71,19 @@ def ordered_text(
     """One text per key: its lines in order, ``sep`` between, none after the last.
 
     Keys of ordinary size take one shuffle. Keys above ``group_rows`` rows are
-    sorted and joined in parts first. ``extra`` adds aggregates over the same
-    groups; ``sized_by`` is a cheaper relation to count the groups on.
+    sorted and joined in parts first. Equal order values follow the line's text.
+    ``extra`` adds aggregates over the same groups; ``sized_by`` is a cheaper
+    relation to count the groups on.
     """
     extra = dict(extra or {})
     small, large = split_large_groups(df, keys, group_rows, sized_by)
     results = []
     if small is not None:
-        # The lines are computed before the shuffle, so only they and the order travel.
-        base = small.withColumns({f"_order_{i}": F.col(c) for i, c in enumerate(order)}).withColumn("_line", line)
-        rows = F.array_sort(F.collect_list(F.struct(*_sort_fields(order), F.col("_line"))))
-        text = F.array_join(F.transform(rows, lambda r: r["_line"]), sep)
+        base, names = _prepared(small, keys, order, line, others=bool(extra))
         results.append(
-            base.groupBy(*keys).agg(text.alias(name), *[c.alias(n) for n, c in extra.items()])
+            base.groupBy(*keys).agg(
+                _joined("_line", [*names, "_line"], sep).alias(name), *[c.alias(n) for n, c in extra.items()]
+            )
         )
     if large is not None:
         parts = cut_lineage(ordered_parts(large, keys, order, line, name, sep))
@@ -88,10 +91,7 @@ def ordered_text(
         oversized = sizes.where(F.col("_bytes") > DOCUMENT_BYTES).limit(1).collect()
         if oversized:
             raise ValueError(f"document of {oversized[0]['_bytes']} bytes: use ordered_parts")
-        pieces = F.array_sort(F.collect_list(F.struct("part", name)))
-        joined = parts.groupBy(*keys).agg(
-            F.array_join(F.transform(pieces, lambda p: p[name]), sep).alias(name)
-        )
+        joined = parts.groupBy(*keys).agg(_joined(name, ["part"], sep).alias(name))
         if extra:
             added = large.groupBy(*keys).agg(*[c.alias(n) for n, c in extra.items()])
             for i, k in enumerate(keys):

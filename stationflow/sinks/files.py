@@ -41,56 +41,60 @@ def _prepare(location: str, mode: str) -> None:
     filesystem.create_dir(base, recursive=True)
 
 
-def _file_task(location: str, line_end: bytes | None):
+def _file_task(location: str):
     """A task that writes runs of rows with one file name into that file.
 
-    Each file gets a hidden temporary name and is renamed when complete, so a
-    repeated or lost task never leaves half a file. The function is
-    self-contained: executors need no copy of this package.
+    A run's contents lie side by side in the Arrow buffer and are written from
+    there in one piece. Each file gets a hidden temporary name and is renamed
+    when complete, so a repeated or lost task never leaves half a file. The
+    function is self-contained: executors need no copy of this package.
     """
     def write(batches):
-        import itertools
         import uuid
 
+        import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
         from pyarrow import fs
 
         filesystem, base = fs.FileSystem.from_uri(location)
         attempt = uuid.uuid4().hex
+        schema = pa.schema([("file", pa.string()), ("rows", pa.int64())])
         name = stream = None
         count = 0
 
         def close():
             stream.close()
             filesystem.move(f"{base}/.{name}.{attempt}", f"{base}/{name}")
-            return pa.RecordBatch.from_pydict(
-                {"file": [name], "rows": [count]}, pa.schema([("file", pa.string()), ("rows", pa.int64())])
-            )
+            return pa.RecordBatch.from_pydict({"file": [name], "rows": [count]}, schema)
 
         for batch in batches:
-            pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            for file, run in itertools.groupby(pairs, key=lambda pair: pair[0]):
+            content = batch.column(1)
+            wide = pa.types.is_large_string(content.type) or pa.types.is_large_binary(content.type)
+            _, offsets, data = content.buffers()
+            offsets = np.frombuffer(offsets, dtype=np.int64 if wide else np.int32)[content.offset:]
+            data = memoryview(data or b"")
+            runs = pc.run_end_encode(batch.column(0))
+            start = 0
+            for file, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()):
                 if file != name:
                     if stream is not None:
                         yield close()
                     name, count = file, 0
                     stream = filesystem.open_output_stream(f"{base}/.{name}.{attempt}")
-                if line_end is None:
-                    contents = [content for _, content in run]
-                else:
-                    contents = [line.encode("utf-8") + line_end for _, line in run]
-                stream.write(b"".join(contents))
-                count += len(contents)
+                stream.write(data[offsets[start]:offsets[end]])
+                count += end - start
+                start = end
         if stream is not None:
             yield close()
 
     return write
 
 
-def _run(df: DataFrame, path: str, mode: str, line_end: bytes | None) -> Written:
+def _run(df: DataFrame, path: str, mode: str) -> Written:
     location = _location(df.sparkSession, path)
     _prepare(location, mode)
-    listed = df.mapInArrow(_file_task(location, line_end), "file string, rows long")
+    listed = df.mapInArrow(_file_task(location), "file string, rows long")
     total = listed.agg(F.count("*").alias("files"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).collect()[0]
     return Written(total["files"], total["rows"])
 
@@ -103,7 +107,7 @@ def write_series_dir(lines: DataFrame, path: str, mode: str = "error", file_rows
     the id before the first dot either way. ``mode='overwrite'`` empties the
     folder first.
     """
-    lines = lines.select("id", "ts", "line")
+    lines = lines.select("id", "ts", F.concat(F.coalesce("line", F.lit("")), F.lit("\r\n")).alias("line"))
     small, large = split_large_groups(lines, ["id"], file_rows)
     pieces = []
     if small is not None:
@@ -120,12 +124,10 @@ def write_series_dir(lines: DataFrame, path: str, mode: str = "error", file_rows
             )
         )
     out = pieces[0] if len(pieces) == 1 else pieces[0].unionAll(pieces[1])
-    return _run(out, path, mode, b"\r\n")
+    return _run(out, path, mode)
 
 
 def write_blobs(df: DataFrame, path: str, name: Column, blob: str, mode: str = "error") -> Written:
     """One file per row, named by an expression; rows without content or name are skipped."""
     files = df.select(name.alias("file"), F.col(blob).cast("binary").alias("content"))
-    return _run(
-        files.where(F.col("file").isNotNull() & (F.octet_length("content") > 0)), path, mode, None
-    )
+    return _run(files.where(F.col("file").isNotNull() & (F.octet_length("content") > 0)), path, mode)
