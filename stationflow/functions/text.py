@@ -44,14 +44,32 @@ def number_text(value: Column | str) -> Column:
     return F.regexp_replace(_col(value).cast("string"), r"\.0$", "")
 
 
+def six_decimals(number: Column | str) -> Column:
+    """A number as ``%f`` prints it.
+
+    A decimal cast gives the same digits as the formatter in a fraction of the
+    time; the formatter is left with tiny, huge and odd values, whose sign or
+    name a decimal loses.
+    """
+    number = _col(number).cast("double")
+    return (
+        F.when(F.abs(number).between(1e-6, 1e11), number.cast("decimal(18,6)").cast("string"))
+        .when(number.cast("string") == "0.0", "0.000000")
+        .otherwise(F.format_string("%f", number))
+    )
+
+
 def point_line(*numbers: Column | str) -> Column:
     """Numbers with six decimals between commas; an absent number is an error."""
-    numbers = [_col(n).cast("double") for n in numbers]
+    numbers = [_col(n) for n in numbers]
+    parts = []
+    for n in numbers:
+        parts += [F.lit(","), six_decimals(n)]
     absent = numbers[0].isNull()
     for n in numbers[1:]:
         absent = absent | n.isNull()
-    text = F.format_string(",".join(["%f"] * len(numbers)), *numbers)
-    return F.when(absent, F.raise_error(F.lit("curve point without a number")).cast("string")).otherwise(text)
+    failure = F.raise_error(F.lit("curve point without a number")).cast("string")
+    return F.when(absent, failure).otherwise(F.concat(*parts[1:]))
 
 
 def true_false(flag: Column | str) -> Column:

@@ -15,7 +15,7 @@ from stationflow.operators.skew import GROUP_ROWS, ordered_ranges, split_large_g
 from stationflow.operators.updates import new, update_from
 from stationflow.session import cut_lineage
 
-# A document is one text value; longer ones are only available in parts.
+# A document in one text value may have 1 GiB, as in the source database; longer ones come in parts.
 DOCUMENT_BYTES = 1 << 30
 
 
@@ -57,6 +57,25 @@ def ordered_parts(
     return texts.select(*keys, number.alias("part"), name)
 
 
+def ordered_documents(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], line: Column,
+    name: str = "content", sep: str = "\n", group_rows: int = GROUP_ROWS,
+) -> DataFrame:
+    """Documents of any size as ``(keys, part, content)``.
+
+    Keys of up to ``group_rows`` rows have one part, larger ones as many as needed.
+    """
+    small, large = split_large_groups(df, keys, group_rows)
+    results = []
+    if small is not None:
+        base, names = _prepared(small, keys, order, line)
+        text = _joined("_line", [*names, "_line"], sep)
+        results.append(base.groupBy(*keys).agg(text.alias(name)).select(*keys, F.lit(1).alias("part"), name))
+    if large is not None:
+        results.append(ordered_parts(large, keys, order, line, name, sep))
+    return results[0] if len(results) == 1 else results[0].unionByName(results[1])
+
+
 def ordered_text(
     df: DataFrame,
     keys: Sequence[str],

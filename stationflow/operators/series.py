@@ -17,7 +17,7 @@ from stationflow.functions.records import (
     slashed,
 )
 from stationflow.functions.text import first_stamp, minute_stamp, number_text
-from stationflow.operators.documents import ordered_text
+from stationflow.operators.documents import ordered_documents
 from stationflow.operators.joins import members
 from stationflow.operators.skew import GROUP_ROWS, one_per_key
 from stationflow.operators.tables import stack
@@ -75,8 +75,11 @@ def parsed_records(lines: DataFrame, line: str = "line") -> DataFrame:
 
 
 def series_texts(lines: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """``(id, content)``: all lines of a series in time order, each ended by CR LF."""
-    return ordered_text(
+    """``(id, part, content)``: all lines of a series in time order, each ended by CR LF.
+
+    Only series above ``group_rows`` records have more than one part.
+    """
+    return ordered_documents(
         lines, ["id"], ["ts"], F.concat(F.col("line"), F.lit("\r\n")), sep="", group_rows=group_rows
     )
 

@@ -258,7 +258,7 @@ def _add_curves(target: Target, asset: Asset, source: Source, links: DataFrame)
         target.add("gentitygenericdata", project(owned, {**curve_columns(CURVES[subtype][0]), "gentity_id": "asset_id"}))
 
 
-def _add_series(target: Target, asset: Asset, source: Source, links: DataFrame) -> None:
+def add_series(target: Target, source: Source, links: DataFrame) -> None:
     """Series metadata under new ids, and the records under the same ids."""
     owned = loadable_series(source["timeseries"]).join(links, F.col("gentity") == F.col("source_id"))
     rows = project(with_old_id(owned), {
@@ -329,7 +329,7 @@ def load(spark: SparkSession, asset: Asset, source: Source, existing: Source, me
         target[asset.table], owned, {"gisentity_ptr_id": "asset_id"}, {n: new(n) for n in asset.fields}
     )
     _add_curves(target, asset, source, any_links)
-    _add_series(target, asset, source, links)
+    add_series(target, source, links)
     target["next_ids"] = target.next_ids(sorted(target.tables))
     return target.tables
 

@@ -9,7 +9,9 @@ from stationflow.operators.documents import (
     curve_documents,
     ordered_parts,
     ordered_text,
+    segments_with_points,
     stage_discharge_documents,
+    write_documents,
 )
 from stationflow.queries import query, table
 
@@ -39,19 +41,19 @@ def curve_document(spark, folder):
 
 
 @query("""
-    SELECT event_type, string_agg(CAST(event_id AS VARCHAR) || ';' || CAST(user_id AS VARCHAR), chr(10) ORDER BY user_id, event_id) AS content
-    FROM events GROUP BY event_type
+    SELECT user_id, string_agg(CAST(event_id AS VARCHAR) || ';' || event_type, chr(10) ORDER BY event_type, event_id) AS content
+    FROM events GROUP BY user_id
 """)
 def large_document(spark, folder):
-    # A low limit sends these few large groups through the range-partitioned way.
-    line = F.concat(F.col("event_id").cast("string"), F.lit(";"), F.col("user_id").cast("string"))
+    # A low limit sends the larger groups through the range-partitioned way.
+    line = F.concat(F.col("event_id").cast("string"), F.lit(";"), F.col("event_type"))
     return ordered_text(
-        table(spark, folder, "events"), ["event_type"], ["user_id", "event_id"], line, group_rows=100
+        table(spark, folder, "events"), ["user_id"], ["event_type", "event_id"], line, group_rows=66
     )
 
 
 @query("""
-    SELECT event_type, count(*) AS lines, sum(length(CAST(event_id AS VARCHAR))) AS characters FROM events GROUP BY event_type
+    SELECT event_type, count(*) AS lines, CAST(sum(length(CAST(event_id AS VARCHAR))) AS BIGINT) AS characters FROM events GROUP BY event_type
 """)
 def document_parts(spark, folder):
     parts = ordered_parts(
@@ -106,3 +108,32 @@ def nested_document(spark, folder):
         F.col("l_quantity").alias("h"), F.col("l_extendedprice").alias("q"),
     )
     return stage_discharge_documents(curves, segments, points)
+
+
+@query("""
+    WITH d AS (SELECT l_suppkey, string_agg(printf('%f', l_tax), chr(10) ORDER BY l_tax) AS txt FROM lineitem GROUP BY l_suppkey)
+    SELECT s_suppkey AS id, CASE WHEN d.l_suppkey IS NULL THEN s_name ELSE txt END AS content
+    FROM supplier LEFT JOIN d ON d.l_suppkey = s_suppkey AND s_acctbal > 0
+""")
+def document_update(spark, folder):
+    supplier = table(spark, folder, "supplier")
+    targets = supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("content"))
+    curves = supplier.where(F.col("s_acctbal") > 0).select(F.col("s_suppkey").alias("id"))
+    points = table(spark, folder, "lineitem").select(F.col("l_suppkey").alias("id"), "l_tax")
+    return write_documents(targets, curve_documents(curves, points, "l_tax", ["l_tax"]))
+
+
+@query("""
+    SELECT c_custkey AS id, count(DISTINCT CASE WHEN l_orderkey IS NOT NULL THEN o_orderkey END) AS count
+    FROM customer LEFT JOIN orders ON o_custkey = c_custkey LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_quantity > 30
+    GROUP BY c_custkey
+""")
+def segment_counts(spark, folder):
+    orders = table(spark, folder, "orders")
+    curves = table(spark, folder, "customer").select(F.col("c_custkey").alias("id"))
+    segments = orders.select(F.col("o_custkey").alias("id"), F.col("o_orderkey").alias("num"))
+    large = table(spark, folder, "lineitem").where(F.col("l_quantity") > 30)
+    points = large.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_custkey").alias("id"), F.col("l_orderkey").alias("curve_num")
+    )
+    return segments_with_points(curves, segments, points)

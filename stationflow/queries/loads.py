@@ -51,7 +51,7 @@ _PREFECTURE = "CASE prefecture " + " ".join(f"WHEN {k} THEN {v}" for k, v in val
                CASE WHEN has_details THEN chr(10) || chr(10) || 'Municipality: ' || municipality ELSE '' END
                || CASE WHEN sub = 'stations' THEN chr(10) ELSE '' END AS remarks_alt,
                CASE WHEN has_details THEN {_PREFECTURE} END AS political_division_id,
-               CASE WHEN has_point THEN basin + 1000 END AS water_basin_id
+               CASE WHEN has_point THEN CAST(basin + 1000 AS BIGINT) END AS water_basin_id
         FROM g WHERE sub IN ('stations', 'basins'))
     SELECT e.*, CASE WHEN n_nationkey IS NOT NULL THEN n_regionkey + 500 END AS water_division_id
     FROM e LEFT JOIN nation ON n_nationkey + 1000 = e.water_basin_id
@@ -272,3 +272,47 @@ def cross_section_rows(spark, folder):
         F.when(F.col("p_brand") != "Brand#1", F.col("p_name").cast("binary")).alias("drawing"),
     )
     return assets.cross_sections(sections)
+
+
+@query("""
+    WITH t AS (
+        SELECT o_orderkey AS old_id, c_custkey + 1000000 AS gentity_id, o_orderpriority AS name, o_orderstatus AS bottom,
+               5000 + row_number() OVER (ORDER BY o_orderkey) AS id
+        FROM orders JOIN customer ON c_custkey = o_custkey
+        WHERE c_nationkey < 20 AND o_totalprice <= 300000 AND o_orderstatus <> 'P')
+    SELECT t.id, t.old_id, t.gentity_id, t.name, FALSE AS hidden,
+           chr(10) || 'Type: ' || CASE WHEN t.bottom = 'F' THEN 'Raw data' ELSE 'Processed data' END AS remarks_alt, r.top, r.chunks
+    FROM t JOIN (SELECT l_orderkey, '' AS top, count(*) AS chunks FROM lineitem GROUP BY l_orderkey) r ON r.l_orderkey = t.old_id
+""")
+def asset_series(spark, folder):
+    from stationflow.operators.joins import link_assets
+    from stationflow.plans.common import Target
+
+    orders, customer, lineitem = (table(spark, folder, t) for t in ("orders", "customer", "lineitem"))
+    none, number = F.lit(None).cast("string"), F.lit(None).cast("int")
+    registry = customer.select(
+        F.col("c_custkey").alias("id"), F.when(F.col("c_nationkey") < 20, 2).otherwise(3).alias("gtype_id"), F.col("c_custkey").alias("gis_id")
+    )
+    pumps = customer.select((F.col("c_custkey") + 1000000).alias("gpoint_ptr_id"), F.col("c_custkey").alias("gisentity_ptr_id"))
+    status = F.col("o_orderstatus")
+    source = {
+        "timeseries": orders.select(
+            F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("gentity"), F.lit(1).alias("var"), number.alias("unit"),
+            F.col("o_orderpriority").alias("name"), none.alias("name_en"), F.lit(2).alias("precision"), none.alias("remarks"),
+            none.alias("remarks_en"), F.when(status == "F", 1).when(status == "O", 2).otherwise(3).alias("ttype"),
+            number.alias("instrument"), F.lit(1).alias("tstep"), F.lit(2).alias("var_type"), F.lit(True).alias("tstep_strict"),
+            F.lit(True).alias("hydrological_year"), number.alias("toffset"), (F.col("o_totalprice") > 300000).alias("synth"),
+        ),
+        "ts_records": lineitem.select(
+            F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("num"), none.alias("top"),
+            F.lit(None).cast("binary").alias("middle"), F.col("l_returnflag").alias("bottom"),
+        ),
+    }
+    existing = {"timeseries": spark.createDataFrame([(5000,)], "id bigint")}
+    target = Target(existing)
+    assets.add_series(target, source, link_assets(pumps, registry, "gpoint_ptr_id", "gis_id", kind=2))
+    chunks = target["ts_records"].groupBy(F.col("id").alias("_id"), "top").agg(F.count("*").alias("chunks"))
+    series = target["timeseries"].where(F.col("old_id").isNotNull())
+    return series.join(chunks, F.col("id") == F.col("_id")).select(
+        "id", "old_id", "gentity_id", "name", "hidden", "remarks_alt", "top", "chunks"
+    )

@@ -21,6 +21,7 @@ from stationflow.operators.joins import (
 from stationflow.operators.quality import fk_report
 from stationflow.operators.tables import (
     append,
+    copy_lookup,
     literal_table,
     split_entity,
     stack,
@@ -29,6 +30,7 @@ from stationflow.operators.tables import (
 )
 from stationflow.operators.updates import (
     get_or_create,
+    insert_missing,
     load_once,
     missing_keys,
     new,
@@ -362,3 +364,26 @@ def append_rows(spark, folder):
         (F.col("s_suppkey") + 1000000).alias("c_custkey"), F.col("s_name").alias("c_name"), F.col("s_nationkey").alias("c_nationkey")
     )
     return append(table(spark, folder, "customer"), added)
+
+
+@query("""
+    SELECT p_partkey AS id, coalesce(nullif(p_type, 'ECONOMY'), '') AS descr, coalesce(nullif(p_name, 'small ring'), '') AS descr_alt,
+           p_brand AS symbol
+    FROM part
+""")
+def lookup_copy(spark, folder):
+    lookup = table(spark, folder, "part").select(
+        F.col("p_partkey").alias("id"), F.nullif("p_type", F.lit("ECONOMY")).alias("descr"),
+        F.nullif("p_name", F.lit("small ring")).alias("descr_en"), "p_brand",
+    )
+    return copy_lookup(lookup, symbol="p_brand")
+
+
+@query("""
+    SELECT doc_id, quality, toxic FROM labels
+    UNION ALL SELECT doc_id, -1, NULL FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+""")
+def insert_missing_parents(spark, folder):
+    return insert_missing(
+        table(spark, folder, "documents"), "doc_id", table(spark, folder, "labels"), "doc_id", {"quality": F.lit(-1)}
+    )

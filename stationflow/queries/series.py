@@ -50,7 +50,7 @@ def series_records(spark, folder):
 
 
 @query(f"""
-    SELECT id, string_agg(line || chr(13) || chr(10), '' ORDER BY ts, line) AS content FROM ({EVENT_LINES_SQL}) GROUP BY id
+    SELECT id, 1 AS part, string_agg(line || chr(13) || chr(10), '' ORDER BY ts, line) AS content FROM ({EVENT_LINES_SQL}) GROUP BY id
 """)
 def series_text(spark, folder):
     return series_texts(event_lines(spark, folder))

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from fixtures import rows
@@ -111,6 +112,12 @@ def test_paths_and_text(spark):
     assert evaluate(spark, "v double", [(10.0,), (0.5,), (-3.0,), (None,)], number_text("v")) == ["10", "0.5", "-3", None]
     assert evaluate(spark, "a double, b int", [(1.0, 2), (-0.0000001, 3)], point_line("a", "b")) == ["1.000000,2.000000", "-0.000000,3.000000"]
     assert evaluate(spark, "n string", [("00042.data",), ("123456.000003.data",)], id_from_file_name("n")) == [42, 123456]
+    rng = random.Random(5)
+    numbers = [rng.uniform(-1, 1) * 10 ** rng.randint(-9, 14) for _ in range(500)]
+    numbers += [0.0, -0.0, 1e-6, 5e-7, 4.9e-7, -1e-9, 1e11, 1e22, -1e300, 99999999999.999999, 123456.7890625, 0.1, 1 / 3]
+    formatted = F.format_string("%f", "a")
+    for fast, slow in evaluate(spark, "a double", [(x,) for x in numbers], point_line("a"), formatted):
+        assert fast == slow
     with pytest.raises(Exception, match="without a number"):
         evaluate(spark, "a double", [(None,)], point_line("a"))
 

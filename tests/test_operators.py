@@ -5,7 +5,7 @@ import pytest
 from fixtures import rows
 from pyspark.sql import functions as F
 
-from stationflow.operators.documents import ordered_parts, ordered_text
+from stationflow.operators.documents import ordered_documents, ordered_parts, ordered_text
 from stationflow.operators.ids import assign_ids, next_ids
 from stationflow.operators.joins import match_time_steps, members, not_in
 from stationflow.operators.skew import ordered_ranges, slabs, split_large_groups, unpacked
@@ -123,6 +123,19 @@ def test_document_parts(spark, no_broadcast):
     assert len(parts) > 1 and "\n".join(p["content"] for p in parts) == expected
 
 
+def test_documents_of_any_size(spark, no_broadcast):
+    df = hot(spark, 4000)
+    documents = ordered_documents(df, ["k"], ["v"], F.col("v"), group_rows=100).orderBy("k", "part").collect()
+    found = {}
+    for r in documents:
+        found.setdefault(r["k"], []).append(r["content"])
+    expected = {}
+    for r in sorted(df.collect(), key=lambda r: (r["k"], r["v"])):
+        expected.setdefault(r["k"], []).append(r["v"])
+    assert {k: "\n".join(v) for k, v in found.items()} == {k: "\n".join(v) for k, v in expected.items()}
+    assert len(found[7]) > 1
+
+
 def test_null_order_is_last(spark):
     df = spark.createDataFrame([(1, None, "last"), (1, 2, "b"), (1, 1, "a")], "k int, o int, v string")
     for limit in (1, 100):
