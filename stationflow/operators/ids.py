@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stationflow.operators.skew import ordered_ranges, unpacked
+from stationflow.operators.skew import BROADCAST_KEYS, ordered_ranges, unpacked
 from stationflow.session import cut_lineage
 
 _ROW_BITS = 33
@@ -57,9 +57,11 @@ def assign_ids(
     task = F.shiftright("_place", _ROW_BITS)
     row = F.col("_place").bitwiseAND((1 << _ROW_BITS) - 1)
     sizes = placed.groupBy(task.alias("_task")).agg(F.count("*").alias("_rows"))
-    # One row per range, a few thousand at most.
+    # One row per range.
     before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_task", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    if placed.rdd.getNumPartitions() <= BROADCAST_KEYS:
+        offsets = F.broadcast(offsets)
     first = F.lit(start) if isinstance(start, int) else start
     numbered = placed.withColumn("_task", task).join(offsets, "_task")
     return numbered.select(*df.columns, (first + F.col("_offset") + row).cast("long").alias(name))
