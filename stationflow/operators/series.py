@@ -18,7 +18,6 @@ from stationflow.functions.records import (
 )
 from stationflow.functions.text import first_stamp, minute_stamp, number_text
 from stationflow.operators.documents import ordered_documents
-from stationflow.operators.joins import members
 from stationflow.operators.skew import GROUP_ROWS, one_per_key
 from stationflow.operators.tables import stack
 from stationflow.operators.updates import new, update_from
@@ -128,11 +127,6 @@ def with_phases(series: DataFrame, chunks: DataFrame, steps: Mapping[int, int] =
     )
 
 
-def records_of(records: DataFrame, series: DataFrame) -> DataFrame:
-    """The records whose series is in the series table."""
-    return members(records, "id", series, "id")
-
-
 def canonical(df: DataFrame, key: str, moment: str, value: Column, flags: Column) -> DataFrame:
     """Any table as ``(id, ts, value, flags)`` records."""
     return df.select(

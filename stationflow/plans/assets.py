@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.functions import values
-from stationflow.functions.keys import offset_key, or_default
+from stationflow.functions.keys import or_default
 from stationflow.functions.text import drawing_path
 from stationflow.operators.documents import curve_documents, write_documents
 from stationflow.operators.ids import assign_ids, next_id
@@ -28,9 +28,12 @@ from stationflow.plans.common import (
     Tables,
     Target,
     curve_columns,
-    detail_sets,
+    detail_division,
+    detail_remarks,
     entity_texts,
     file_columns,
+    gathered,
+    if_present,
     loadable_series,
     series_columns,
 )
@@ -215,29 +218,31 @@ def add_missing_boreholes(target: Target, boreholes: DataFrame) -> None:
 def completed_entities(entities: DataFrame, links: DataFrame, source: Source) -> DataFrame:
     """Texts, division, basin and remarks of the entities behind the assets.
 
-    The links are widened with everything known about their source key, which
-    needs one partitioning of the links, and update the entities in one join.
-    The texts reset the divisions; details and basins then set them again.
+    Everything known about a source key is gathered first, then joined to the
+    links and to the entities once each. The texts reset the divisions; details
+    and basins then set them again.
     """
-    def keyed(df: DataFrame, key: str, *columns: Column | str) -> DataFrame:
-        return df.select(F.col("id").alias(key), *columns)
-
-    names = list(entity_texts())
-    texts = keyed(source["gentities"], "_text", *[c.alias(n) for n, c in entity_texts().items()])
-    details = keyed(source["gentities_real"], "_detail", *DETAILS)
-    basins = keyed(source["gpoints"], "_basin", "basin")
-    known = links.select("entity_id", "source_id")
-    for key, table in (("_text", texts), ("_detail", details), ("_basin", basins)):
-        known = known.join(table, F.col("source_id") == F.col(key), "left")
-
-    has_text, has_detail = new("_text").isNotNull(), new("_detail").isNotNull()
-    has_basin = has_detail & new("_basin").isNotNull()
-    sets = {n: F.when(has_text, new(n)).otherwise(F.col(n)) for n in names}
-    reset = lambda column: F.when(~has_text, F.col(column))
-    for column, value in detail_sets(sets["remarks"], sets["remarks_alt"]).items():
-        sets[column] = F.when(has_detail, value).otherwise(sets.get(column, reset(column)))
-    sets["water_division_id"] = reset("water_division_id")
-    sets["water_basin_id"] = F.when(has_basin, new("basin") + BASINS).otherwise(reset("water_basin_id"))
+    def keyed(df: DataFrame, *columns: Column | str) -> DataFrame:
+        return df.select(F.col("id").alias("_source"), *columns)
+
+    texts = entity_texts()
+    around = gathered(
+        "_source",
+        text=keyed(source["gentities"], *[c.alias(n) for n, c in texts.items()]),
+        detail=keyed(source["gentities_real"], *DETAILS),
+        point=keyed(source["gpoints"], "basin"),
+    )
+    known = links.select("entity_id", "source_id").join(around, F.col("source_id") == F.col("_source"))
+
+    no_id = F.lit(None).cast("int")
+    sets = {n: if_present("text", new(f"text.{n}"), n) for n in texts}
+    reset = {c: if_present("text", no_id, c) for c in ("water_basin_id", "water_division_id", "political_division_id")}
+    for language, column in enumerate(("remarks", "remarks_alt")):
+        sets[column] = if_present("detail", detail_remarks(sets[column], language), sets[column])
+    basin = if_present("point", new("point.basin") + BASINS, reset["water_basin_id"])
+    sets["water_basin_id"] = if_present("detail", basin, reset["water_basin_id"])
+    sets["water_division_id"] = reset["water_division_id"]
+    sets["political_division_id"] = if_present("detail", detail_division(), reset["political_division_id"])
     return update_from(entities, known, {"id": "entity_id"}, sets)
 
 

@@ -20,8 +20,9 @@ from stationflow.functions.decode import (
 from stationflow.functions.keys import or_default
 from stationflow.functions.text import append_remark, extension, media_path, truncated
 from stationflow.operators.ids import assign_ids, next_id, next_ids
-from stationflow.operators.tables import append, project
-from stationflow.operators.updates import new, update_from
+from stationflow.operators.skew import one_per_key
+from stationflow.operators.tables import append, project, stack
+from stationflow.operators.updates import new
 
 Tables = dict[str, DataFrame]
 Source = Mapping[str, DataFrame]
@@ -93,33 +94,32 @@ def entity_texts() -> dict[str, Column]:
     }
 
 
-def detail_sets(remarks: Column | str, remarks_alt: Column | str) -> dict[str, Column]:
-    """Division, location and municipality from the source's detail row, in one update.
+def gathered(key: str, **tables: DataFrame) -> DataFrame:
+    """One row per key with a struct per table, NULL where the table has no row.
 
-    An unmapped prefecture gives a NULL division.
+    The tables are stacked and grouped once, instead of being joined one by one.
     """
-    def appended(remark: Column | str, language: int, suffix: str) -> Column:
-        located = append_remark(remark, values.LOCATION_LABELS[language], new(f"location{suffix}"))
-        return append_remark(located, values.MUNICIPALITY_LABELS[language], new(f"municipality{suffix}"))
+    pieces = [
+        t.select(key, F.struct(*[c for c in t.columns if c != key]).alias(name)) for name, t in tables.items()
+    ]
+    return one_per_key(stack(*pieces), [key], *[F.min(name).alias(name) for name in tables])
 
-    return {
-        "political_division_id": prefecture_division(new("prefecture")),
-        "remarks": appended(remarks, 0, ""),
-        "remarks_alt": appended(remarks_alt, 1, "_en"),
-    }
+
+def if_present(part: str, value: Column, otherwise: Column | str) -> Column:
+    """The value when the gathered source row has this part."""
+    return F.when(new(part).isNotNull(), value).otherwise(F.col(otherwise) if isinstance(otherwise, str) else otherwise)
+
+
+def detail_remarks(remark: Column | str, language: int) -> Column:
+    """Location and municipality of the gathered ``detail`` appended to a remark."""
+    suffix = ("", "_en")[language]
+    located = append_remark(remark, values.LOCATION_LABELS[language], new(f"detail.location{suffix}"))
+    return append_remark(located, values.MUNICIPALITY_LABELS[language], new(f"detail.municipality{suffix}"))
 
 
-def add_remarks(
-    entities: DataFrame, details: DataFrame, key: str, labels: tuple[str, str], value: str, value_alt: str
-) -> DataFrame:
-    """Append a labelled value to both languages' remarks of the matched entities."""
-    return update_from(
-        entities, details.select(key, value, value_alt), {"id": key},
-        {
-            "remarks": append_remark("remarks", labels[0], new(value)),
-            "remarks_alt": append_remark("remarks_alt", labels[1], new(value_alt)),
-        },
-    )
+def detail_division() -> Column:
+    """The gathered ``detail``'s prefecture as a division; NULL when unmapped."""
+    return prefecture_division(new("detail.prefecture"))
 
 
 def file_columns(media_name: str) -> dict[str, Column | str]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stationflow.functions import values
 from stationflow.functions.keys import first_present, offset_key, or_default
-from stationflow.functions.text import extension, media_path
+from stationflow.functions.text import append_remark, extension, media_path
 from stationflow.operators.documents import stage_discharge_documents, write_documents
 from stationflow.operators.joins import carry_records, members
 from stationflow.operators.series import with_phases
@@ -26,11 +26,13 @@ from stationflow.plans.common import (
     Source,
     Tables,
     Target,
-    add_remarks,
     curve_columns,
-    detail_sets,
+    detail_division,
+    detail_remarks,
     entity_texts,
     file_columns,
+    gathered,
+    if_present,
     loadable_series,
     series_columns,
 )
@@ -73,21 +75,28 @@ def entity_rows(entities: DataFrame) -> DataFrame:
 def completed_entities(entities: DataFrame, source: Source) -> DataFrame:
     """Divisions, basins and remarks taken from the tables around the entity.
 
-    One update per source table. All but the last match on the entity's id, so
-    the entities are partitioned by it once.
+    The tables keyed by the entity's id are gathered and update it in one join;
+    the water division follows from the basin found there.
     """
-    shifted = lambda df: df.withColumn("_entity", offset_key("id", ENTITIES))
-    real, stations = shifted(source["gentities_real"]), shifted(source["stations"])
-    known = members(source["gpoints"], "id", source["gentities"], "id")
-    result = update_from(
-        entities, real.select("_entity", *DETAILS), {"id": "_entity"}, detail_sets("remarks", "remarks_alt")
+    def shifted(df: DataFrame, *columns: str) -> DataFrame:
+        return df.select(offset_key("id", ENTITIES).alias("_entity"), *columns)
+
+    around = gathered(
+        "_entity",
+        detail=shifted(source["gentities_real"], *DETAILS),
+        point=shifted(members(source["gpoints"], "id", source["gentities"], "id"), "basin"),
+        station=shifted(source["stations"], "observer", "observer_en"),
     )
-    result = update_from(
-        result, shifted(known).select("_entity", "basin"), {"id": "_entity"},
-        {"water_basin_id": new("basin") + ENTITIES},
-    )
-    result = add_remarks(result, stations, "_entity", values.OBSERVER_LABELS, "observer", "observer_en")
-    basins = shifted(source["basins"]).select("_entity", "water_district")
+    sets = {
+        "political_division_id": if_present("detail", detail_division(), "political_division_id"),
+        "water_basin_id": if_present("point", new("point.basin") + ENTITIES, "water_basin_id"),
+    }
+    for language, (column, observer) in enumerate((("remarks", "observer"), ("remarks_alt", "observer_en"))):
+        remark = if_present("detail", detail_remarks(column, language), column)
+        observed = append_remark(remark, values.OBSERVER_LABELS[language], new(f"station.{observer}"))
+        sets[column] = if_present("station", observed, remark)
+    result = update_from(entities, around, {"id": "_entity"}, sets, unique=True)
+    basins = shifted(source["basins"], "water_district")
     return update_from(
         result, basins, {"water_basin_id": "_entity"}, {"water_division_id": new("water_district") + WATER_DISTRICTS}
     )
