@@ -40,8 +40,20 @@ def minute_stamp(text: Column | str) -> Column:
 
 
 def number_text(value: Column | str) -> Column:
-    """A number as text, whole numbers without a fraction."""
-    return F.regexp_replace(_col(value).cast("string"), r"\.0$", "")
+    """A number in plain digits, whole numbers without a fraction.
+
+    Spark writes an exponent outside 0.001 to 10,000,000; a decimal of fitting
+    scale keeps all digits there. Only values beyond 1e-12 and 1e22 keep the exponent.
+    """
+    value = _col(value).cast("double")
+    size = F.abs(value)
+    small = F.regexp_replace(value.cast("decimal(38,30)").cast("string"), "0+$", "")
+    large = F.regexp_replace(value.cast("decimal(38,15)").cast("string"), r"\.?0+$", "")
+    return (
+        F.when((size >= 1e-12) & (size < 1e-3), small)
+        .when((size >= 1e7) & (size < 1e22), large)
+        .otherwise(F.regexp_replace(value.cast("string"), r"\.0$", ""))
+    )
 
 
 def six_decimals(number: Column | str) -> Column:

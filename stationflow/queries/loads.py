@@ -157,18 +157,19 @@ def national_series(spark, folder):
 
 
 @query("""
+    WITH s AS (SELECT *, CASE WHEN c_custkey = 501015 THEN 501030 ELSE c_custkey END AS id FROM customer)
     SELECT table_name, id, a, b FROM (
-        SELECT 'gentity' AS table_name, c_custkey // 10000 AS id, CASE WHEN c_nationkey > 0 THEN c_nationkey + 400 END AS a,
-               coalesce(nullif(c_mktsegment, 'BUILDING'), 'Anonymous') AS b FROM customer
-        UNION ALL SELECT 'gpoint', c_custkey // 10000, CASE WHEN c_acctbal <> 0 THEN 2100 END, CAST(c_acctbal AS VARCHAR) FROM customer
-        UNION ALL SELECT 'station', c_custkey // 10000, CASE WHEN c_nationkey > 0 THEN c_nationkey ELSE 1 END,
-               CASE WHEN c_nationkey = 1 THEN 'true' ELSE 'false' END FROM customer)
+        SELECT 'gentity' AS table_name, id, CASE WHEN c_nationkey > 0 THEN c_nationkey + 400 END AS a,
+               coalesce(nullif(c_mktsegment, 'BUILDING'), 'Anonymous') AS b FROM s
+        UNION ALL SELECT 'gpoint', id, CASE WHEN c_acctbal <> 0 THEN 2100 END, CAST(c_acctbal AS VARCHAR) FROM s
+        UNION ALL SELECT 'station', id, CASE WHEN c_nationkey > 0 THEN c_nationkey ELSE 1 END,
+               CASE WHEN c_nationkey = 1 THEN 'true' ELSE 'false' END FROM s)
 """)
 def national_stations(spark, folder):
     balance, nation_key = F.col("c_acctbal"), F.col("c_nationkey")
     none = F.lit(None).cast("string")
     stations = table(spark, folder, "customer").select(
-        F.col("c_custkey").alias("stationid"), F.lit(1).alias("srvid"), nation_key.alias("wbid"), nation_key.alias("wtrid"),
+        (F.col("c_custkey") * 10000 + 1).alias("stationid"), F.lit(1).alias("srvid"), nation_key.alias("wbid"), nation_key.alias("wtrid"),
         nation_key.alias("sttid"), nation_key.alias("stcatid"), F.nullif("c_mktsegment", F.lit("BUILDING")).alias("stationname"),
         none.alias("comments"), balance.alias("x"), balance.alias("y"), balance.alias("altitude"), none.alias("phi"),
         none.alias("lamda"), nation_key.alias("st_isactiv"), F.lit(None).cast("date").alias("startdate"), F.lit(None).cast("date").alias("enddate"),
@@ -221,20 +222,21 @@ def weather_series(spark, folder):
         FROM orders JOIN customer ON o_custkey = c_custkey),
     e AS (SELECT o_orderkey AS id, o_orderpriority AS old_name FROM orders)
     SELECT e.id, CASE WHEN n.n_nationkey IS NULL THEN e.old_name ELSE left(n.n_name, 200) END AS name,
-           CASE WHEN n.n_nationkey IS NULL THEN 'old' WHEN n.n_nationkey < 15
+           CASE WHEN n.n_nationkey IS NULL THEN 'old' WHEN n.n_regionkey < 4
                 THEN chr(10) || 'Τοποθεσία: ' || n.n_name || chr(10) || 'Δήμος: ' || n.n_nationkey ELSE '' END AS remarks,
-           CASE WHEN n.n_nationkey < 15 THEN {_PREFECTURE.replace('CASE prefecture', 'CASE n.n_nationkey')} END AS political_division_id,
-           CASE WHEN n.n_nationkey IS NULL THEN 5 WHEN n.n_nationkey < 15 AND n.n_regionkey > 1 THEN n.n_regionkey + 1000 END AS water_basin_id
-    FROM e LEFT JOIN links l ON l.entity_id = e.id LEFT JOIN nation n ON n.n_nationkey = l.source_id AND n.n_nationkey > 3
+           CASE WHEN n.n_regionkey < 4 THEN {_PREFECTURE.replace('CASE prefecture', 'CASE n.n_nationkey')} END AS political_division_id,
+           CASE WHEN n.n_nationkey IS NULL THEN 5
+                WHEN n.n_regionkey < 4 AND n.n_regionkey > 1 THEN n.n_regionkey + 1000 END AS water_basin_id
+    FROM e LEFT JOIN links l ON l.entity_id = e.id LEFT JOIN nation n ON n.n_nationkey = l.source_id AND n.n_regionkey > 0
 """)
 def asset_entities(spark, folder):
     from stationflow.operators.joins import link_assets
 
     orders, customer, nation = (table(spark, folder, t) for t in ("orders", "customer", "nation"))
     none, no_id = F.lit(None).cast("string"), F.lit(None).cast("int")
-    known = nation.where(F.col("n_nationkey") > 3)
+    known = nation.where(F.col("n_regionkey") > 0)
     key = F.col("n_nationkey").alias("id")
-    real = known.where(F.col("n_nationkey") < 15)
+    real = known.where(F.col("n_regionkey") < 4)
     name, code = F.col("n_name"), F.col("n_nationkey").cast("string")
     source = {
         "gentities": known.select(

@@ -61,13 +61,14 @@ def read_copy_text(spark: SparkSession, path: str, schema: StructType | str) ->
 def read_copy_dump(spark: SparkSession, path: str, schemas: dict[str, StructType | str]) -> dict[str, DataFrame]:
     """Several tables from one dump file with ``COPY table (columns) FROM stdin;`` headers.
 
-    A row belongs to the header before it. A line's place is its split's offset
-    in the file plus its number within the task, so the file is read in
-    parallel and only the headers and end marks come to the driver. Columns are
-    taken by the header's names.
+    A row belongs to the header before it in its file. A line's place is its
+    split's offset in the file plus its number within the task, so files are read
+    in parallel and only the headers and end marks come to the driver. Columns
+    are taken by the header's names. Every table is a scan of its own.
     """
     lines = spark.read.option("lineSep", "\n").text(path).select(
         "value",
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
@@ -76,24 +77,26 @@ def read_copy_dump(spark: SparkSession, path: str, schemas: dict[str, StructType
     if len(found) > _MAX_MARKS:
         raise ValueError("too many table headers in one file: split it")
     blocks, opened = [], None
-    for mark in sorted(found, key=lambda m: (m["block"], m["row"])):
+    for mark in sorted(found, key=lambda m: (m["file"], m["block"], m["row"])):
         header = re.match(_HEADER, mark["value"])
-        if opened is None and header:
+        place = (mark["block"], mark["row"])
+        if header and (opened is None or opened[0] != mark["file"]):
             columns = [c.strip().strip('"') for c in header.group(2).split(",")]
-            opened = (header.group(1).strip('"'), columns, (mark["block"], mark["row"]))
-        elif opened is not None and mark["value"] == r"\.":
-            blocks.append((*opened, (mark["block"], mark["row"])))
+            opened = (mark["file"], header.group(1).strip('"'), columns, place)
+        elif opened is not None and opened[0] == mark["file"] and mark["value"] == r"\.":
+            blocks.append((*opened, place))
             opened = None
     place = F.struct("block", "row")
     tables: dict[str, DataFrame] = {}
-    for name, columns, start, end in blocks:
+    for file, name, columns, start, end in blocks:
         if name not in schemas:
             continue
         schema = schemas[name]
         schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
         listed = StructType([schema[c] for c in columns])
         inside = lines.where(
-            (place > F.struct(F.lit(start[0]).alias("block"), F.lit(start[1]).alias("row")))
+            (F.col("file") == file)
+            & (place > F.struct(F.lit(start[0]).alias("block"), F.lit(start[1]).alias("row")))
             & (place < F.struct(F.lit(end[0]).alias("block"), F.lit(end[1]).alias("row")))
         )
         rows = parse_copy_lines(inside, listed)

@@ -113,6 +113,11 @@ def test_paths_and_text(spark):
     assert evaluate(spark, "a double, b int", [(1.0, 2), (-0.0000001, 3)], point_line("a", "b")) == ["1.000000,2.000000", "-0.000000,3.000000"]
     assert evaluate(spark, "n string", [("00042.data",), ("123456.000003.data",)], id_from_file_name("n")) == [42, 123456]
     rng = random.Random(5)
+    plain = [rng.uniform(-1, 1) * 10 ** rng.randint(-10, 21) for _ in range(500)]
+    plain += [0.0, 1e7, 12345678.9, 1e-5, 0.001, 9999999.0, 1e21, 123456789012345680.0]
+    texts = evaluate(spark, "v double", [(x,) for x in plain], number_text("v"))
+    assert [float(t) for t in texts] == plain and not any("E" in t for t in texts)
+    assert texts[-8:] == ["0", "10000000", "12345678.9", "0.00001", "0.001", "9999999", "1" + "0" * 21, "123456789012345680"]
     numbers = [rng.uniform(-1, 1) * 10 ** rng.randint(-9, 14) for _ in range(500)]
     numbers += [0.0, -0.0, 1e-6, 5e-7, 4.9e-7, -1e-9, 1e11, 1e22, -1e300, 99999999999.999999, 123456.7890625, 0.1, 1 / 3]
     formatted = F.format_string("%f", "a")

@@ -206,6 +206,10 @@ def test_copy_dump(spark, tmp_path):
     tables = read_copy_dump(spark, str(path), schemas)
     assert rows(tables["area"]) == [(1, None), (2, 2.5), (3, 1.0)]
     assert rows(tables["entity"]) == [(1, "Αττική  ", ""), (2, None, "a\tb\\N\nc")]
+    (tmp_path / "dumps").mkdir()
+    for i in range(3):
+        (tmp_path / "dumps" / f"{i}.sql").write_text(f"COPY area (id, size) FROM stdin;\n{i}\t1\n\\.\n")
+    assert rows(read_copy_dump(spark, str(tmp_path / "dumps"), schemas)["area"], "id") == [(0,), (1,), (2,)]
     # Many splits of one file: rows stay with their header.
     big = tmp_path / "big.sql"
     with open(big, "w") as out:
@@ -251,3 +255,25 @@ def test_copy_text_round_trip(spark, tmp_path):
 def test_small_helpers(spark):
     assert snapshot_names(["A", "CLOUD_OBSERVATION", "stations"]) == ["A", "stations"]
     assert unit_variables(spark, {4: (4, 9)}).count() == 2
+
+
+def test_record_lines_round_trip(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    from stationflow.operators.series import number_lines, parsed_records
+
+    moments = st.datetimes(dt.datetime(1900, 1, 1), dt.datetime(2100, 1, 1)).map(lambda t: t.replace(second=0, microsecond=0))
+    values = st.one_of(st.none(), st.floats(allow_nan=False, allow_infinity=False))
+    flags = st.text(st.characters(blacklist_categories=["Cc", "Cs"], blacklist_characters="\x85\u2028\u2029"), max_size=8)
+
+    @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.tuples(st.integers(0, 99), moments, flags, values), min_size=1, max_size=60))
+    def check(records):
+        schema = "id int, datein timestamp_ntz, flag string, value double"
+        df = spark.createDataFrame(records, schema).withColumn("additional", F.lit(None).cast("string"))
+        parsed = parsed_records(number_lines(df).withColumn("line", F.concat("line", F.lit("\r"))))
+        expected = df.select("id", F.col("datein").alias("ts"), "value", F.col("flag").alias("flags"))
+        assert rows(parsed) == rows(expected)
+
+    check()
