@@ -13,7 +13,7 @@ GROUP_ROWS = 1_000_000
 # Keys of larger groups that may be sent to every executor.
 BROADCAST_KEYS = 10_000
 # Equal rows travelling as one.
-SLAB_ROWS = 10_000
+SLAB_ROWS = 100
 
 
 def split_large_groups(
@@ -53,18 +53,20 @@ def one_per_key(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> Data
 
 
 def slabs(df: DataFrame) -> DataFrame:
-    """Equal rows packed into slabs: the distinct rows with ``_slab`` and ``_copies``.
+    """Equal rows of one task packed into slabs: ``_task``, ``_slab`` and ``_copies`` are added.
 
-    Copies are combined before the shuffle, so a row repeated without bound
-    costs one row per task and afterwards one row per ``SLAB_ROWS`` copies.
+    Copies are combined before the shuffle. Counting them per reading task keeps
+    the copies of a row that fills a third of the table spread over as many rows
+    as tasks read it, and a slab's size bounds what a packed row can expand to.
     """
     columns = df.columns
-    packed = df.groupBy(*columns).agg(F.count("*").alias("_n"))
+    packed = df.withColumn("_task", F.spark_partition_id()).groupBy(*columns, "_task").agg(F.count("*").alias("_n"))
     last = F.call_function("div", F.col("_n") - 1, F.lit(SLAB_ROWS))
     return packed.select(
         "*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_slab")
     ).select(
         *columns,
+        "_task",
         "_slab",
         F.least(F.lit(SLAB_ROWS), F.col("_n") - F.col("_slab") * SLAB_ROWS).cast("int").alias("_copies"),
     )
@@ -72,7 +74,7 @@ def slabs(df: DataFrame) -> DataFrame:
 
 def unpacked(df: DataFrame) -> DataFrame:
     """The inverse of ``slabs``; keeps the order of the rows."""
-    columns = [c for c in df.columns if c not in ("_slab", "_copies")]
+    columns = [c for c in df.columns if c not in ("_task", "_slab", "_copies")]
     return df.select(*columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")
 
 
