@@ -25,7 +25,7 @@ def not_in(df: DataFrame, column: str, other: DataFrame, key: str) -> DataFrame:
     A NULL among the keys leaves no row; a NULL column leaves its row only when
     there are no keys at all. Spark plans a literal ``NOT IN`` as a broadcast of
     the whole key list whatever its size, so this is an ordinary anti join on
-    distinct keys plus two one-value subqueries.
+    distinct keys plus a one-row subquery.
     """
     keys = other.select(F.col(key).alias("_key"))
     facts = keys.agg(
@@ -34,9 +34,8 @@ def not_in(df: DataFrame, column: str, other: DataFrame, key: str) -> DataFrame:
     )
     present = one_per_key(keys.where(F.col("_key").isNotNull()), ["_key"])
     left = df.join(present, F.col(column) == F.col("_key"), "left_anti")
-    has_null = facts.select("has_null").scalar()
-    empty = facts.select("empty").scalar()
-    return left.where(empty | (F.col(column).isNotNull() & ~has_null))
+    about = facts.select(F.struct("has_null", "empty").alias("about")).scalar()
+    return left.where(about["empty"] | (F.col(column).isNotNull() & ~about["has_null"]))
 
 
 def left_with_fixed(
