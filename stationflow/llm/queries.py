@@ -2,23 +2,44 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stationflow.llm import boilerplate, substrings
+from stationflow.llm import boilerplate, importance, jaccard, packing, substrings, tiling
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that are kept."""
+    found = importance.importance(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.filter("kept").select("doc_id", "log_weight", "resample_key")
+
+
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that hold a test item, with the items."""
+    found = tiling.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.groupBy("doc_id").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.max("coverage").alias("coverage"), F.sum(F.size("tiles")).alias("n_tiles"))
+
+
 def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = substrings.remove_repeats(table(spark, folder, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
+def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, folder, "documents"), n=3, share=90)
+
+
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return boilerplate.drop_boilerplate(table(spark, folder, "documents")).select("doc_id", "source", "n_lines", "n_dropped", "text")
 
 
-QUERIES = {f.__name__: f for f in (op3_substring_dedup, op5_line_dedup)}
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op1_importance_resampling, op2_decontamination, op3_substring_dedup, op4_jaccard_join, op5_line_dedup, op7_packing)}
 SQL = {"op5_line_dedup": boilerplate.boilerplate_sql("documents")}

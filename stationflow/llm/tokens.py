@@ -62,12 +62,12 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return places, np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
 
 
-def slices(texts: pa.Array) -> Iterator[tuple[range, np.ndarray, np.ndarray]]:
-    """(rows, offsets from the slice's begin, bytes) of at most SLICE_BYTES, or of one text."""
+def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[range, np.ndarray, np.ndarray]]:
+    """(rows, offsets from the slice's begin, bytes) of at most ``most`` bytes, or of one text."""
     places, data = buffers(texts)
     at, n = 0, len(places) - 1
     while at < n:
-        to = max(at + 1, int(np.searchsorted(places, places[at] + SLICE_BYTES, "right")) - 1)
+        to = max(at + 1, int(np.searchsorted(places, places[at] + most, "right")) - 1)
         to = min(to, n)
         yield range(at, to), places[at : to + 1] - places[at], data[places[at] : places[to]]
         at = to
@@ -85,10 +85,10 @@ def words(texts: pa.Array, lower: bool = False, hashed: bool = True) -> Iterator
         starts = np.flatnonzero(inside[1:] & (~inside[:-1] | cut))
         ends = np.flatnonzero(inside[:-1] & (~inside[1:] | cut))
         first = np.searchsorted(starts, places)
-        yield Words(rows, data, places, starts, ends, first, _hashes(data, starts, ends) if hashed else starts)
+        yield Words(rows, data, places, starts, ends, first, byte_hashes(data, starts, ends) if hashed else starts)
 
 
-def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Each word's bytes, eight at a time, mixed into a value that begins with its length."""
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     eights = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
