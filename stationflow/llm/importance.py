@@ -72,9 +72,9 @@ def _fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample:
     chosen = _verdicts(labels, id_col).orderBy(F.xxhash64(id_col), id_col).limit(sample).filter("clean = 1").select(F.col(id_col).alias("_id"))
     rows = docs.select(F.col(id_col).alias("_id"), text_bytes(F.col(text_col)).alias("_bytes"))
     flagged = rows.join(F.broadcast(chosen.withColumn("_target", F.lit(True))), "_id", "left").select("_bytes", F.coalesce("_target", F.lit(False)).alias("_target"))
-    counts = flagged.mapInArrow(_counts, "bucket int, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
+    counts = flagged.mapInArrow(_counts, "bucket int, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()
     table = np.zeros((2, WORD_BUCKETS + SHAPE_BUCKETS))
-    table[:, counts["bucket"]] = counts[["raw", "target"]].to_numpy().T
+    table[:, counts["bucket"].to_numpy()] = np.stack([counts["raw"], counts["target"]])
     if not table[1].any():
         return np.zeros(table.shape[1])
     out = np.empty(table.shape[1])

@@ -128,9 +128,9 @@ def _sketch(rows: DataFrame, n: int) -> np.ndarray:
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"bucket": used.astype(np.int32), "n": total[used]})
 
-    counts = rows.select("_text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    counts = rows.select("_text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(SKETCH, np.int64)
-    out[counts["bucket"]] = counts["n"]
+    out[counts["bucket"].to_numpy()] = counts["n"].to_numpy()
     return out
 
 

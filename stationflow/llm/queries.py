@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stationflow.llm import boilerplate, importance, jaccard, packing, substrings, tiling
+from stationflow.llm import boilerplate, importance, jaccard, neighbours, packing, substrings, suffixtree, tiling, warc
+from stationflow.llm.staging import new_folder
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,5 +42,21 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_importance_resampling, op2_decontamination, op3_substring_dedup, op4_jaccard_join, op5_line_dedup, op7_packing)}
+def op6_warc_index(spark: SparkSession, folder: str) -> DataFrame:
+    archives = new_folder(spark, "warc")
+    warc.write_archives(table(spark, folder, "pages"), archives)
+    index = warc.merged_index(warc.read_runs(spark, archives))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured")
+
+
+def op8_embedding_links(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.near_links(table(spark, folder, "embeddings"))
+
+
+def op9_suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2
+    return suffixtree.scores(table(spark, folder, "documents"), held_out)
+
+
+QUERIES = {f.__name__: f for f in (op1_importance_resampling, op2_decontamination, op3_substring_dedup, op4_jaccard_join, op5_line_dedup, op6_warc_index, op7_packing, op8_embedding_links, op9_suffix_tree)}
 SQL = {"op5_line_dedup": boilerplate.boilerplate_sql("documents")}

@@ -47,17 +47,17 @@ def text_bytes(column: Column) -> Column:
     return F.coalesce(column, F.lit("")).cast("binary")
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``_id``, ``_key`` and ``_text`` of each row.
+def keyed(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
+    """``_id``, ``_key``, ``_text`` and ``more`` columns of each row.
 
     ``_key`` is the id where ids are whole numbers, present and unique. Otherwise
     it is a hash of id and text, so that rows that share an id stay apart unless
     they are equal in both; equal rows share a key, and with it their result.
     """
-    rows = docs.select(F.col(id_col).alias("_id"), text_bytes(F.col(text_col)).alias("_text"))
+    rows = docs.select(F.col(id_col).alias("_id"), text_bytes(F.col(text_col)).alias("_text"), *more)
     if unique_ids(docs, id_col):
-        return rows.select("_id", F.col("_id").cast("long").alias("_key"), "_text")
-    return rows.select("_id", F.xxhash64("_id", "_text").alias("_key"), "_text")
+        return rows.select("_id", F.col("_id").cast("long").alias("_key"), "_text", *more)
+    return rows.select("_id", F.xxhash64("_id", "_text").alias("_key"), "_text", *more)
 
 
 def unique_ids(docs: DataFrame, id_col: str) -> bool:
