@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stationflow.llm import boilerplate, importance, jaccard, neighbours, packing, substrings, suffixtree, tiling, warc
+from stationflow.llm import boilerplate, importance, jaccard, neighbours, packing, substrings, suffixtree, tiling, toxicity, warc
 from stationflow.llm.staging import new_folder
 
 
@@ -58,5 +58,10 @@ def op9_suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
     return suffixtree.scores(table(spark, folder, "documents"), held_out)
 
 
-QUERIES = {f.__name__: f for f in (op1_importance_resampling, op2_decontamination, op3_substring_dedup, op4_jaccard_join, op5_line_dedup, op6_warc_index, op7_packing, op8_embedding_links, op9_suffix_tree)}
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"), held_out)
+
+
+QUERIES = {f.__name__: f for f in (op1_importance_resampling, op2_decontamination, op3_substring_dedup, op4_jaccard_join, op5_line_dedup, op6_warc_index, op7_packing, op8_embedding_links, op9_suffix_tree, op10_toxicity)}
 SQL = {"op5_line_dedup": boilerplate.boilerplate_sql("documents")}
