@@ -24,7 +24,7 @@ def decode(code: Column | str, mapping: Mapping) -> Column:
     if all(type(k) is int for k in keys) and max(keys) - min(keys) < _DENSE_SPAN:
         low, high = min(keys), max(keys)
         slots = F.array(*[F.lit(mapping.get(k)) for k in range(low, high + 1)])
-        position = F.when(code.between(low, high), (code - F.lit(low)).cast("int"))
+        position = F.when(code.between(low, high) & (code == code.cast("int")), (code - F.lit(low)).cast("int"))
         return F.get(slots, position)
     pairs = [F.lit(x) for item in mapping.items() for x in item]
     return F.try_element_at(F.create_map(*pairs), code)

@@ -42,33 +42,46 @@ def minute_stamp(text: Column | str) -> Column:
 def number_text(value: Column | str) -> Column:
     """A number in plain digits, whole numbers without a fraction.
 
-    Spark writes an exponent outside 0.001 to 10,000,000; a decimal of fitting
-    scale keeps all digits there. Only values beyond 1e-12 and 1e22 keep the exponent.
+    Spark writes an exponent outside 0.001 to 10,000,000; there the digits of its
+    mantissa are moved to their places. Names such as NaN stay.
     """
     value = _col(value).cast("double")
-    size = F.abs(value)
-    small = F.regexp_replace(value.cast("decimal(38,30)").cast("string"), "0+$", "")
-    large = F.regexp_replace(value.cast("decimal(38,15)").cast("string"), r"\.?0+$", "")
-    return (
-        F.when((size >= 1e-12) & (size < 1e-3), small)
-        .when((size >= 1e7) & (size < 1e22), large)
-        .otherwise(F.regexp_replace(value.cast("string"), r"\.0$", ""))
+    text = value.cast("string")
+    sign = F.when(F.startswith(text, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
+    mantissa = F.substring_index(F.ltrim(text, F.lit("-")), "E", 1)
+    digits = F.regexp_replace(F.replace(mantissa, F.lit("."), F.lit("")), r"(?<=\d)0+$", "")
+    exponent = F.substring_index(text, "E", -1).try_cast("int")
+    point = exponent + 1
+    moved = (
+        F.when(exponent < 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
+        .when(point >= F.length(digits), F.rpad(digits, point, "0"))
+        .otherwise(F.concat(F.left(digits, point), F.lit("."), F.substr(digits, point + 1)))
     )
+    return F.when(text.contains("E"), F.concat(sign, moved)).otherwise(F.regexp_replace(text, r"\.0$", ""))
 
 
 def six_decimals(number: Column | str) -> Column:
-    """A number as ``%f`` prints it.
+    """A number as ``%f`` prints it: the exact binary value rounded to six decimals, ties to even.
 
-    A decimal cast gives the same digits as the formatter in a fraction of the
-    time; the formatter is left with tiny, huge and odd values, whose sign or
-    name a decimal loses.
+    The fraction times a million is rounded once by the machine; where that lies
+    near a tie, the rounding error (exact from the halves of the factors) decides.
+    Values from 2**63 on, and names such as NaN, are left to the formatter.
     """
     number = _col(number).cast("double")
-    return (
-        F.when(F.abs(number).between(1e-6, 1e11), number.cast("decimal(18,6)").cast("string"))
-        .when(number.cast("string") == "0.0", "0.000000")
-        .otherwise(F.format_string("%f", number))
-    )
+    size = F.abs(number)
+    whole = F.floor(size)
+    fraction = size - whole
+    million = F.lit(1e6)
+    product = fraction * million
+    high = fraction * F.lit(134217729.0) - (fraction * F.lit(134217729.0) - fraction)  # the upper 26 bits
+    error = (high * million - product) + (fraction - high) * million
+    digits = F.floor(product)
+    beyond = (product - digits - F.lit(0.5)) + error
+    digits = digits + F.when((beyond > 0) | ((beyond == 0) & (digits % 2 == 1)), 1).otherwise(0)
+    full = whole.cast("long") + F.when(digits >= 1000000, 1).otherwise(0)
+    text = F.concat(full.cast("string"), F.lit("."), F.lpad((digits % 1000000).cast("string"), 6, "0"))
+    sign = F.when(F.startswith(number.cast("string"), F.lit("-")), F.lit("-")).otherwise(F.lit(""))
+    return F.when(size < F.lit(float(1 << 63)), F.concat(sign, text)).otherwise(F.format_string("%f", number))
 
 
 def point_line(*numbers: Column | str) -> Column:
@@ -116,8 +129,7 @@ def drawing_path(prefix: str, key: Column | str) -> Column:
 
 def first_stamp(chunk: Column | str) -> Column:
     """The first comma field of the first line."""
-    line = F.split_part(_col(chunk), F.lit("\n"), F.lit(1))
-    return F.split_part(line, F.lit(","), F.lit(1))
+    return F.substring_index(F.substring_index(_col(chunk), "\n", 1), ",", 1)
 
 
 def id_from_file_name(name: Column | str) -> Column:

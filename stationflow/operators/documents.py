@@ -11,12 +11,10 @@ from pyspark.sql.window import Window
 from stationflow.functions import values
 from stationflow.functions.text import minute_text, point_line, true_false
 from stationflow.operators.joins import matching_parents
-from stationflow.operators.skew import GROUP_ROWS, ordered_ranges, split_large_groups
 from stationflow.operators.updates import new, update_from
-from stationflow.session import cut_lineage
 
-# A document in one text value may have 1 GiB, as in the source database; longer ones come in parts.
-DOCUMENT_BYTES = 1 << 30
+# Bytes after which a document continues in its next part.
+PART_BYTES = 64 << 20
 
 
 def _joined(line: str, order: Sequence[str], sep: str) -> Column:
@@ -27,53 +25,46 @@ def _joined(line: str, order: Sequence[str], sep: str) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
-def _prepared(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], line: Column, others: bool = False
-) -> tuple[DataFrame, list[str]]:
-    """The keys, the order columns under own names and the line, computed before any shuffle."""
-    names = {f"_order_{i}": F.col(c) for i, c in enumerate(order)}
-    if others:
-        return df.withColumns({**names, "_line": line}), list(names)
-    return df.select(*keys, *[c.alias(n) for n, c in names.items()], line.alias("_line")), list(names)
-
-
 def ordered_parts(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], line: Column, name: str = "content", sep: str = "\n"
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], line: Column, name: str = "content", sep: str = "\n",
+    stretch: Column | None = None, part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """Each key's sorted lines as consecutive texts ``(keys, part, content)``.
 
-    Rows are range-partitioned by key and order, so a key of any size is spread
-    over as many parts as it needs and no task holds a whole key. Reading the
-    parts in order, with ``sep`` between them, gives the document.
-    """
-    base, names = _prepared(df, keys, order, line)
-    repeated = F.array_join(F.array_repeat("_line", F.col("_copies")), sep)
-    ranged = ordered_ranges(base, [*keys, *names]).withColumns(
-        {"_range": F.spark_partition_id(), "_text": F.when(F.col("_line").isNotNull(), repeated)}
-    )
-    texts = ranged.groupBy(*keys, "_range").agg(_joined("_text", [*names, "_line", "_slab"], sep).alias(name))
-    # A key has at most one part per range partition.
-    number = F.row_number().over(Window.partitionBy(*keys).orderBy("_range"))
-    return texts.select(*keys, number.alias("part"), name)
-
-
-def ordered_documents(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], line: Column,
-    name: str = "content", sep: str = "\n", group_rows: int = GROUP_ROWS,
-) -> DataFrame:
-    """Documents of any size as ``(keys, part, content)``.
+    A line belongs to the part that its first byte falls into, counted from the
+    key's first line in units of ``part_bytes``; so parts have bounded size and
+    depend on the rows alone. Reading the parts in order, with ``sep`` between
+    them, gives the document. Keys without lines have no part.
 
-    Keys of up to ``group_rows`` rows have one part, larger ones as many as needed.
+    ``stretch`` is a value that never falls along the order, such as the month
+    of a time stamp. It spreads a key over as many tasks as it has values: they
+    are sorted apart, and their sizes give where each begins.
     """
-    small, large = split_large_groups(df, keys, group_rows)
-    results = []
-    if small is not None:
-        base, names = _prepared(small, keys, order, line)
-        text = _joined("_line", [*names, "_line"], sep)
-        results.append(base.groupBy(*keys).agg(text.alias(name)).select(*keys, F.lit(1).alias("part"), name))
-    if large is not None:
-        results.append(ordered_parts(large, keys, order, line, name, sep))
-    return results[0] if len(results) == 1 else results[0].unionByName(results[1])
+    names = {f"_order_{i}": F.col(c) for i, c in enumerate(order)}
+    base = df.select(
+        *keys, *[c.alias(n) for n, c in names.items()], line.alias("_line"),
+        (F.lit(0) if stretch is None else stretch).alias("_stretch"),
+    ).where(F.col("_line").isNotNull())
+    bytes_ = F.octet_length("_line") + len(sep.encode())
+    sort = [F.col(n).asc_nulls_last() for n in names] + [F.col("_line")]
+    earlier = Window.partitionBy(*keys, "_stretch").orderBy(*sort).rowsBetween(Window.unboundedPreceding, -1)
+    placed = base.withColumn("_before", F.coalesce(F.sum(bytes_).over(earlier), F.lit(0)))
+    if stretch is not None:
+        ahead = Window.partitionBy(*keys).orderBy(F.col("_stretch").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+        sizes = base.groupBy(*keys, "_stretch").agg(F.sum(bytes_).alias("_size"))
+        begins = sizes.select(
+            *[F.col(k).alias(f"_same_{i}") for i, k in enumerate(keys)], F.col("_stretch").alias("_same"),
+            F.coalesce(F.sum("_size").over(ahead), F.lit(0)).alias("_begin"),
+        )
+        same = F.col("_stretch").eqNullSafe(F.col("_same"))
+        for i, k in enumerate(keys):
+            same = same & F.col(k).eqNullSafe(F.col(f"_same_{i}"))
+        placed = placed.join(begins, same).withColumn("_before", F.col("_before") + F.col("_begin"))
+    part = (F.call_function("div", F.col("_before"), F.lit(part_bytes)) + 1).alias("part")
+    pieces = placed.groupBy(*keys, "_stretch", part).agg(_joined("_line", [*names, "_line"], sep).alias(name))
+    if stretch is None:
+        return pieces.select(*keys, "part", name)
+    return pieces.groupBy(*keys, "part").agg(_joined(name, ["_stretch"], sep).alias(name))
 
 
 def ordered_text(
@@ -84,48 +75,27 @@ def ordered_text(
     name: str = "content",
     sep: str = "\n",
     extra: Mapping[str, Column] | None = None,
-    group_rows: int = GROUP_ROWS,
-    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """One text per key: its lines in order, ``sep`` between, none after the last.
 
-    Keys of ordinary size take one shuffle. Keys above ``group_rows`` rows are
-    sorted and joined in parts first. Equal order values follow the line's text.
-    ``extra`` adds aggregates over the same groups; ``sized_by`` is a cheaper
-    relation to count the groups on.
+    One shuffle; a text is one value, so it is built in one task, and one beyond
+    what a value can hold (2 GiB) is an error: ``ordered_parts`` has no such
+    limit. Equal order values follow the line's text. ``extra`` adds aggregates
+    over the same groups.
     """
     extra = dict(extra or {})
-    small, large = split_large_groups(df, keys, group_rows, sized_by)
-    results = []
-    if small is not None:
-        base, names = _prepared(small, keys, order, line, others=bool(extra))
-        results.append(
-            base.groupBy(*keys).agg(
-                _joined("_line", [*names, "_line"], sep).alias(name), *[c.alias(n) for n, c in extra.items()]
-            )
-        )
-    if large is not None:
-        parts = cut_lineage(ordered_parts(large, keys, order, line, name, sep))
-        sizes = parts.groupBy(*keys).agg(F.sum(F.octet_length(name) + len(sep.encode())).alias("_bytes"))
-        oversized = sizes.where(F.col("_bytes") > DOCUMENT_BYTES).limit(1).collect()
-        if oversized:
-            raise ValueError(f"document of {oversized[0]['_bytes']} bytes: use ordered_parts")
-        joined = parts.groupBy(*keys).agg(_joined(name, ["part"], sep).alias(name))
-        if extra:
-            added = large.groupBy(*keys).agg(*[c.alias(n) for n, c in extra.items()])
-            for i, k in enumerate(keys):
-                added = added.withColumnRenamed(k, f"_same_{i}")
-            same = [F.col(k).eqNullSafe(F.col(f"_same_{i}")) for i, k in enumerate(keys)]
-            joined = joined.join(added, same).select(*keys, name, *extra)
-        results.append(joined)
-    return results[0] if len(results) == 1 else results[0].unionByName(results[1])
-
-
-def curve_documents(
-    curves: DataFrame, points: DataFrame, order: str, numbers: Sequence[str], group_rows: int = GROUP_ROWS
-) -> DataFrame:
+    names = {f"_order_{i}": F.col(c) for i, c in enumerate(order)}
+    if extra:
+        base = df.withColumns({**names, "_line": line})
+    else:
+        base = df.select(*keys, *[c.alias(n) for n, c in names.items()], line.alias("_line"))
+    text = _joined("_line", [*names, "_line"], sep).alias(name)
+    return base.groupBy(*keys).agg(text, *[c.alias(n) for n, c in extra.items()])
+
+
+def curve_documents(curves: DataFrame, points: DataFrame, order: str, numbers: Sequence[str]) -> DataFrame:
     """``(id, content)`` for every curve: its points in order; '' without points."""
-    texts = ordered_text(points, ["id"], [order], point_line(*numbers), group_rows=group_rows).select(
+    texts = ordered_text(points, ["id"], [order], point_line(*numbers)).select(
         F.col("id").alias("_curve"), F.col("content").alias("_text")
     )
     return (
@@ -135,9 +105,7 @@ def curve_documents(
     )
 
 
-def stage_discharge_documents(
-    curves: DataFrame, segments: DataFrame, points: DataFrame, group_rows: int = GROUP_ROWS
-) -> DataFrame:
+def stage_discharge_documents(curves: DataFrame, segments: DataFrame, points: DataFrame) -> DataFrame:
     """``(id, content)`` for every curve: a header, then each dated segment with its points.
 
     ``Count`` counts the segments that have points, also those left out because
@@ -146,7 +114,7 @@ def stage_discharge_documents(
     listed = ordered_text(
         points, ["id", "curve_num"], ["h"],
         F.concat(point_line("h", "q"), F.lit("\n")), name="_points", sep="",
-        extra={"_n": F.count("*")}, group_rows=group_rows,
+        extra={"_n": F.count("*")},
     ).withColumnsRenamed({"id": "_id"})
     joined = segments.join(
         listed, (F.col("id") == F.col("_id")) & (F.col("num") == F.col("curve_num")), "left"
@@ -164,7 +132,7 @@ def stage_discharge_documents(
     dated = F.col("start_date").isNotNull() & F.col("end_date").isNotNull()
     bodies = ordered_text(
         joined, ["id"], ["num"], F.when(dated, block), name="_body", sep="",
-        extra={"_count": F.count("_n")}, group_rows=group_rows, sized_by=segments,
+        extra={"_count": F.count("_n")},
     ).withColumnRenamed("id", "_curve")
     return (
         curves.select("id")

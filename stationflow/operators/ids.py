@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stationflow.operators.skew import BROADCAST_KEYS, ordered_ranges, unpacked
-from stationflow.session import cut_lineage
+from stationflow.session import written
 
 _ROW_BITS = 33
 
@@ -42,26 +41,30 @@ def assign_ids(
     """Number the rows ``start, start+1, …`` in the given order, without gaps.
 
     Rows are sorted into ranges over all tasks and numbered inside each range;
-    a table with one row per range turns that into one sequence. Ties follow
-    the other columns. ``unique`` says the order columns identify a row; without
-    it, equal rows are packed first so that no range can grow without bound.
-    The sorted rows are checkpointed, because the ranges are drawn from a sample
-    and must be the same in both places that read them.
+    one row per range turns that into one sequence. Ties follow the other
+    columns, by two hashes, so the sort keys and the sampled bounds hold no
+    payload; equal rows follow their place in a written copy, so that copies of
+    one row spread over ranges too. ``unique`` says the order columns identify a
+    row, which saves that copy. The sorted rows are written, because ranges are
+    drawn from a sample and must be the same wherever they are read.
     """
-    if unique:
-        sort = [F.col(c).asc_nulls_last() for c in order]
-        ranged = df.repartitionByRange(*sort).sortWithinPartitions(*sort)
-    else:
-        ranged = unpacked(ordered_ranges(df, order))
-    placed = cut_lineage(ranged.withColumn("_place", F.monotonically_increasing_id()))
+    sort = [F.col(c).asc_nulls_last() for c in order]
+    rows = df
+    if not unique:
+        rest = [c for c in df.columns if c not in order]
+        rows = written(df, "unnumbered").select(
+            "*", F.xxhash64(F.lit(0), *rest).alias("_tie"), F.xxhash64(F.lit(1), *rest).alias("_tie2"),
+            F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"),
+        )
+        sort += [F.col(c) for c in ("_tie", "_tie2", "_file", "_row")]
+    ranged = rows.repartitionByRange(*sort).sortWithinPartitions(*sort).select(*df.columns)
+    placed = written(ranged.withColumn("_place", F.monotonically_increasing_id()), "numbered")
     task = F.shiftright("_place", _ROW_BITS)
     row = F.col("_place").bitwiseAND((1 << _ROW_BITS) - 1)
     sizes = placed.groupBy(task.alias("_task")).agg(F.count("*").alias("_rows"))
-    # One row per range.
     before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_task", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    if placed.rdd.getNumPartitions() <= BROADCAST_KEYS:
-        offsets = F.broadcast(offsets)
+    # One row per task of the sort.
+    offsets = F.broadcast(sizes.select("_task", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")))
     first = F.lit(start) if isinstance(start, int) else start
     numbered = placed.withColumn("_task", task).join(offsets, "_task")
     return numbered.select(*df.columns, (first + F.col("_offset") + row).cast("long").alias(name))

@@ -11,29 +11,29 @@ from stationflow.functions.text import word
 from stationflow.operators.skew import one_per_key
 
 
-def members(df: DataFrame, column: str | Column, other: DataFrame, key: str) -> DataFrame:
-    """Rows whose column occurs among the other table's keys (``IN``)."""
+def members(df: DataFrame, column: str | Column, other: DataFrame, key: str, unique: bool = False) -> DataFrame:
+    """Rows whose column occurs among the other table's keys (``IN``); ``unique`` says each occurs once."""
     column = F.col(column) if isinstance(column, str) else column
     present = other.select(F.col(key).alias("_member")).where(F.col("_member").isNotNull())
-    keys = one_per_key(present, ["_member"])
+    keys = present if unique else one_per_key(present, ["_member"])
     return df.join(keys, column == F.col("_member"), "left_semi")
 
 
-def not_in(df: DataFrame, column: str, other: DataFrame, key: str) -> DataFrame:
-    """Rows whose column is ``NOT IN`` the other table's keys, NULLs included.
+def not_in(df: DataFrame, column: str, other: DataFrame, key: str, unique: bool = False) -> DataFrame:
+    """Rows whose column is ``NOT IN`` the other table's keys, NULLs included; ``unique`` says each occurs once.
 
     A NULL among the keys leaves no row; a NULL column leaves its row only when
     there are no keys at all. Spark plans a literal ``NOT IN`` as a broadcast of
     the whole key list whatever its size, so this is an ordinary anti join on
-    distinct keys plus a one-row subquery.
+    distinct keys plus a one-row subquery on the same keys.
     """
     keys = other.select(F.col(key).alias("_key"))
-    facts = keys.agg(
+    distinct = keys if unique else one_per_key(keys, ["_key"])
+    facts = distinct.agg(
         F.coalesce(F.bool_or(F.col("_key").isNull()), F.lit(False)).alias("has_null"),
         (F.count("*") == 0).alias("empty"),
     )
-    present = one_per_key(keys.where(F.col("_key").isNotNull()), ["_key"])
-    left = df.join(present, F.col(column) == F.col("_key"), "left_anti")
+    left = df.join(distinct, F.col(column) == F.col("_key"), "left_anti")
     about = facts.select(F.struct("has_null", "empty").alias("about")).scalar()
     return left.where(about["empty"] | (F.col(column).isNotNull() & ~about["has_null"]))
 
@@ -103,7 +103,8 @@ def matching_parents(
     group: Sequence[str], name: str = "count",
 ) -> DataFrame:
     """Per group: how many parent rows have at least one child; 0 where none has."""
-    present = children.select(*[F.col(c).alias(f"_{p}") for c, p in zip(child_key, parent_key)]).distinct()
+    names = [f"_{p}" for p in parent_key]
+    present = one_per_key(children.select(*[F.col(c).alias(n) for c, n in zip(child_key, names)]), names)
     same = [F.col(p) == F.col(f"_{p}") for p in parent_key]
     joined = parents.join(present, same, "left")
     return joined.groupBy(*group).agg(F.count(f"_{parent_key[0]}").alias(name))

@@ -11,9 +11,10 @@ from stationflow.functions.records import is_month_start
 from stationflow.operators.skew import one_per_key
 
 
-def fk_violations(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Child rows whose non-NULL foreign key has no parent."""
-    keys = one_per_key(parent.select(F.col(pk).alias("_pk")), ["_pk"])
+def fk_violations(child: DataFrame, fk: str, parent: DataFrame, pk: str, unique: bool = True) -> DataFrame:
+    """Child rows whose non-NULL foreign key has no parent; ``unique=False`` for a key that repeats."""
+    keys = parent.select(F.col(pk).alias("_pk"))
+    keys = keys if unique else one_per_key(keys, ["_pk"])
     return child.where(F.col(fk).isNotNull()).join(keys, F.col(fk) == F.col("_pk"), "left_anti")
 
 

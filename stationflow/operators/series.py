@@ -17,8 +17,9 @@ from stationflow.functions.records import (
     slashed,
 )
 from stationflow.functions.text import first_stamp, minute_stamp, number_text
-from stationflow.operators.documents import ordered_documents
-from stationflow.operators.skew import GROUP_ROWS, one_per_key
+from stationflow.operators.documents import PART_BYTES, ordered_parts
+from stationflow.operators.joins import members
+from stationflow.operators.skew import one_per_key
 from stationflow.operators.tables import stack
 from stationflow.operators.updates import new, update_from
 
@@ -73,13 +74,14 @@ def parsed_records(lines: DataFrame, line: str = "line") -> DataFrame:
     )
 
 
-def series_texts(lines: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
+def series_texts(lines: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """``(id, part, content)``: all lines of a series in time order, each ended by CR LF.
 
-    Only series above ``group_rows`` records have more than one part.
+    A series longer than ``part_bytes`` continues in further parts; its months are sorted apart.
     """
-    return ordered_documents(
-        lines, ["id"], ["ts"], F.concat(F.col("line"), F.lit("\r\n")), sep="", group_rows=group_rows
+    return ordered_parts(
+        lines, ["id"], ["ts"], F.concat(F.col("line"), F.lit("\r\n")), sep="",
+        stretch=F.date_trunc("month", "ts"), part_bytes=part_bytes,
     )
 
 
@@ -109,7 +111,7 @@ def phases(series: DataFrame, chunks: DataFrame, steps: Mapping[int, int] = valu
         F.col("time_step_id").isin(*steps) & F.col("nominal_offset_minutes").isNotNull()
     ).select(F.col("id").alias("_series"), decode("time_step_id", steps).alias("_step"))
     stamps = (
-        chunks.select(F.col("id"), first_stamp("bottom").alias("_stamp"))
+        members(chunks, "id", strict, "_series").select(F.col("id"), first_stamp("bottom").alias("_stamp"))
         .where(F.col("_stamp") != "")
         .groupBy("id")
         .agg(F.min("_stamp").alias("_stamp"))

@@ -1,44 +1,12 @@
-"""Splitting groups that are too large for one task."""
+"""Sides of joins that leave frequent keys to adaptive execution."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows of one group that a single task may hold.
-GROUP_ROWS = 1_000_000
-# Keys of larger groups that may be sent to every executor.
-BROADCAST_KEYS = 10_000
-# Equal rows travelling as one.
-SLAB_ROWS = 100
-
-
-def split_large_groups(
-    df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS, sized_by: DataFrame | None = None
-) -> tuple[DataFrame | None, DataFrame | None]:
-    """``df`` as (rows of small groups, rows of large groups); None where there are no rows.
-
-    One counting pass over the keys (combined before its shuffle) finds the
-    groups above ``group_rows``. When there are none, ``df`` comes back as it
-    is and the plan stays a single shuffle. Few large keys are broadcast, their
-    number having been checked; with too many, all rows count as large.
-    ``sized_by`` is a cheaper relation with the same groups.
-    """
-    counted = (sized_by if sized_by is not None else df).groupBy(*keys).agg(F.count("*").alias("_n"))
-    large = counted.where(F.col("_n") > group_rows).select(*keys)
-    found = large.limit(BROADCAST_KEYS + 1).collect()
-    if not found:
-        return df, None
-    if len(found) > BROADCAST_KEYS:
-        return None, df
-    marked = F.broadcast(df.sparkSession.createDataFrame(found, large.schema)).alias("_large")
-    rows = df.alias("_rows")
-    same = reduce(Column.__and__, [F.col(f"_rows.{k}").eqNullSafe(F.col(f"_large.{k}")) for k in keys])
-    return rows.join(marked, same, "left_anti"), rows.join(marked, same, "left_semi")
-
 
 def one_per_key(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:
     """One row per key, for use as one side of a join.
@@ -50,42 +18,3 @@ def one_per_key(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> Data
     """
     grouped = df.groupBy(*keys, F.xxhash64(*keys).alias("_hash"))
     return (grouped.agg(*aggregates) if aggregates else df.select(*keys, F.xxhash64(*keys).alias("_hash")).distinct()).drop("_hash")
-
-
-def slabs(df: DataFrame) -> DataFrame:
-    """Equal rows of one task packed into slabs: ``_task``, ``_slab`` and ``_copies`` are added.
-
-    Copies are combined before the shuffle. Counting them per reading task keeps
-    the copies of a row that fills a third of the table spread over as many rows
-    as tasks read it, and a slab's size bounds what a packed row can expand to.
-    """
-    columns = df.columns
-    packed = df.withColumn("_task", F.spark_partition_id()).groupBy(*columns, "_task").agg(F.count("*").alias("_n"))
-    last = F.call_function("div", F.col("_n") - 1, F.lit(SLAB_ROWS))
-    return packed.select(
-        "*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_slab")
-    ).select(
-        *columns,
-        "_task",
-        "_slab",
-        F.least(F.lit(SLAB_ROWS), F.col("_n") - F.col("_slab") * SLAB_ROWS).cast("int").alias("_copies"),
-    )
-
-
-def unpacked(df: DataFrame) -> DataFrame:
-    """The inverse of ``slabs``; keeps the order of the rows."""
-    columns = [c for c in df.columns if c not in ("_task", "_slab", "_copies")]
-    return df.select(*columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")
-
-
-def ordered_ranges(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Range-partition by ``order``, then by all other columns, and sort each partition.
-
-    Partitions follow each other in order, so neither a large group nor a group
-    of copies ends up in a single task. The rows come back packed in slabs; call
-    ``unpacked`` to expand them.
-    """
-    packed = slabs(df)
-    sort = [F.col(c).asc_nulls_last() for c in order]
-    sort += [F.col(c) for c in packed.columns if c not in order and c != "_copies"]
-    return packed.repartitionByRange(*sort).sortWithinPartitions(*sort)

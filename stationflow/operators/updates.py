@@ -58,11 +58,11 @@ def update_from(
 
 
 def update_where_in(
-    target: DataFrame, key: str, other: DataFrame, other_key: str, sets: Mapping[str, Column]
+    target: DataFrame, key: str, other: DataFrame, other_key: str, sets: Mapping[str, Column], unique: bool = False
 ) -> DataFrame:
-    """Set columns on the rows whose key occurs in another table."""
+    """Set columns on the rows whose key occurs in another table; ``unique`` says once at most."""
     present = other.select(F.col(other_key).alias("_member")).where(F.col("_member").isNotNull())
-    keys = one_per_key(present, ["_member"])
+    keys = present if unique else one_per_key(present, ["_member"])
     joined = target.join(keys, F.col(key) == F.col("_member"), "left")
     found = F.col("_member").isNotNull()
     return joined.select(
@@ -89,9 +89,10 @@ def insert_missing(
 
 
 def get_or_create(table: DataFrame, key: str, rows: DataFrame) -> DataFrame:
-    """The table with those rows whose key it does not have yet."""
-    wanted = rows.dropDuplicates([key])
-    have = table.select(F.col(key).alias("_have")).where(F.col("_have").isNotNull()).distinct()
+    """The table with those rows whose key it does not have yet; of several, the lowest by all columns."""
+    whole = F.struct(*[F.col(c) for c in rows.columns])
+    wanted = rows.groupBy(F.col(key).alias("_wanted")).agg(F.min(whole).alias("_row")).select("_row.*")
+    have = one_per_key(table.select(F.col(key).alias("_have")).where(F.col("_have").isNotNull()), ["_have"])
     return append(table, wanted.join(have, F.col(key) == F.col("_have"), "left_anti"))
 
 

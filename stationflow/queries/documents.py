@@ -45,24 +45,45 @@ def curve_document(spark, folder):
     FROM events GROUP BY user_id
 """)
 def large_document(spark, folder):
-    # A low limit sends the larger groups through the range-partitioned way.
     line = F.concat(F.col("event_id").cast("string"), F.lit(";"), F.col("event_type"))
     return ordered_text(
-        table(spark, folder, "events"), ["user_id"], ["event_type", "event_id"], line, group_rows=66
+        table(spark, folder, "events"), ["user_id"], ["event_type", "event_id"], line
     )
 
 
-@query("""
-    SELECT event_type, count(*) AS lines, CAST(sum(length(CAST(event_id AS VARCHAR))) AS BIGINT) AS characters FROM events GROUP BY event_type
-""")
+_PARTS_SQL = """
+    WITH placed AS (
+        SELECT event_type, user_id, event_id, length(CAST(event_id AS VARCHAR)) + 1 AS size,
+               sum(length(CAST(event_id AS VARCHAR)) + 1) OVER (PARTITION BY event_type ORDER BY user_id, event_id) AS upto
+        FROM events
+    )
+    SELECT event_type, CAST((upto - size) // 500 + 1 AS BIGINT) AS part,
+           string_agg(CAST(event_id AS VARCHAR), chr(10) ORDER BY user_id, event_id) AS content
+    FROM placed GROUP BY ALL
+"""
+
+
+@query(_PARTS_SQL)
 def document_parts(spark, folder):
-    parts = ordered_parts(
-        table(spark, folder, "events"), ["event_type"], ["user_id", "event_id"], F.col("event_id").cast("string")
+    # Short parts, and stretches of users that are sorted apart.
+    return ordered_parts(
+        table(spark, folder, "events"), ["event_type"], ["user_id", "event_id"], F.col("event_id").cast("string"),
+        stretch=F.floor(F.col("user_id") / 10), part_bytes=500,
     )
-    lines = F.size(F.split("content", "\n"))
-    return parts.groupBy("event_type").agg(
-        F.sum(lines).alias("lines"), F.sum(F.length(F.replace("content", F.lit("\n"), F.lit("")))).alias("characters")
+
+
+@query("""
+    WITH t AS (SELECT l_orderkey AS id, l_linenumber,
+                      printf('%f,%f', l_quantity / 1024 + 0.000000123::DOUBLE, l_extendedprice * 1.000000001::DOUBLE) AS line
+               FROM lineitem)
+    SELECT id, string_agg(line, chr(10) ORDER BY l_linenumber, line) AS content FROM t GROUP BY id
+""")
+def nine_decimals(spark, folder):
+    points = table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("id"), "l_linenumber",
+        (F.col("l_quantity") / 1024 + 0.000000123).alias("h"), (F.col("l_extendedprice") * 1.000000001).alias("q"),
     )
+    return ordered_text(points, ["id"], ["l_linenumber"], point_line("h", "q"))
 
 
 @query("""

@@ -33,9 +33,9 @@ def series_file_roundtrip(spark, folder):
 
 @query(f"SELECT id, line FROM ({EVENT_LINES_SQL})")
 def large_series_files(spark, folder):
-    # A low limit spreads every series over several files.
+    # A file for each month of a series.
     path = work_dir(spark, "large-series")
-    write_series_dir(event_lines(spark, folder), path, file_rows=10)
+    write_series_dir(event_lines(spark, folder), path, period=F.date_format("ts", "yyyyMM"))
     return read_series_lines(spark, path)
 
 
@@ -97,9 +97,10 @@ def snapshot_counts(spark, folder):
 def replace_series(spark, folder):
     events = table(spark, folder, "events")
     path = work_dir(spark, "stored-series")
-    write_series(canonical(events, "user_id", "ts", F.col("value"), F.lit("first")), path)
+    write_series(canonical(events, "user_id", "ts", F.col("value"), F.lit("first")), path, buckets=16)
     errors = events.where(F.col("event_type") == "error")
-    write_series(canonical(errors, "user_id", "ts", F.lit(-1.0), F.lit("replaced")), path)
+    # The store keeps its own number of buckets.
+    write_series(canonical(errors, "user_id", "ts", F.lit(-1.0), F.lit("replaced")), path, buckets=7)
     return read_series(spark, path).select(
         F.col("id").cast("long").alias("id"),
         F.date_trunc("second", "ts").cast("timestamp_ntz").cast("string").alias("ts"), "value", "flags",

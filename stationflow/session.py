@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
+_FOLDERS: list[tuple[SparkSession, str]] = []
+
 
 def local_session(cores: str = "8", app: str = "stationflow") -> SparkSession:
     """A session for tests and benchmarks on one machine."""
@@ -39,17 +43,34 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
-    """A new folder name below the shared one, for one run's files."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new folder name below the shared one, for one run's files; ``release`` deletes it."""
+    if not _FOLDERS:
+        atexit.register(release)
+    folder = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _FOLDERS.append((spark, folder))
+    return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to reliable storage and go on from there.
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read from there.
 
     Used where a later step must see exactly the rows and partition numbers of
-    an earlier one, also after an executor is lost.
+    an earlier one, also after an executor is lost, or where a table is read again.
+    """
+    folder = work_dir(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def release() -> None:
+    """Delete the work folders of this process; results that still read them must be stored before.
+
+    It also runs when the process ends.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+    while _FOLDERS:
+        spark, folder = _FOLDERS.pop()
+        try:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        except (AttributeError, OSError, Py4JError):  # the session has ended before
+            continue

@@ -7,10 +7,9 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.operators.skew import ordered_ranges, split_large_groups, unpacked
 
-# Records of one series that a single file, and so a single task, may hold.
-FILE_ROWS = 20_000_000
+# Names of a file system that Spark's and Arrow's readers spell differently.
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
 
 class Written(NamedTuple):
@@ -22,10 +21,11 @@ def _location(spark: SparkSession, path: str) -> str:
     """The path with its file system spelled out, for use inside tasks."""
     if path.startswith("file:"):
         return "/" + path[len("file:"):].lstrip("/")
-    if "://" in path:
-        return path
     default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
-    return path if default.startswith("file:") else default.rstrip("/") + path
+    if "://" not in path:
+        path = path if default.startswith("file:") else default.rstrip("/") + path
+    scheme, separator, rest = path.partition("://")
+    return f"{_SCHEMES.get(scheme, scheme)}://{rest}" if separator else path
 
 
 def _prepare(location: str, mode: str) -> None:
@@ -68,25 +68,31 @@ def _file_task(location: str):
             filesystem.move(f"{base}/.{name}.{attempt}", f"{base}/{name}")
             return pa.RecordBatch.from_pydict({"file": [name], "rows": [count]}, schema)
 
-        for batch in batches:
-            content = batch.column(1)
-            wide = pa.types.is_large_string(content.type) or pa.types.is_large_binary(content.type)
-            _, offsets, data = content.buffers()
-            offsets = np.frombuffer(offsets, dtype=np.int64 if wide else np.int32)[content.offset:]
-            data = memoryview(data or b"")
-            runs = pc.run_end_encode(batch.column(0))
-            start = 0
-            for file, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()):
-                if file != name:
-                    if stream is not None:
-                        yield close()
-                    name, count = file, 0
-                    stream = filesystem.open_output_stream(f"{base}/.{name}.{attempt}")
-                stream.write(data[offsets[start]:offsets[end]])
-                count += end - start
-                start = end
-        if stream is not None:
-            yield close()
+        try:
+            for batch in batches:
+                content = batch.column(1)
+                wide = pa.types.is_large_string(content.type) or pa.types.is_large_binary(content.type)
+                _, offsets, data = content.buffers()
+                offsets = np.frombuffer(offsets, dtype=np.int64 if wide else np.int32)[content.offset:]
+                data = memoryview(data or b"")
+                runs = pc.run_end_encode(batch.column(0))
+                start = 0
+                for file, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()):
+                    if file != name:
+                        if stream is not None:
+                            yield close()
+                        name, count = file, 0
+                        stream = filesystem.open_output_stream(f"{base}/.{name}.{attempt}")
+                    stream.write(data[offsets[start]:offsets[end]])
+                    count += end - start
+                    start = end
+            if stream is not None:
+                yield close()
+        except BaseException:  # a failed attempt leaves no hidden file
+            if stream is not None and not stream.closed:
+                stream.close()
+                filesystem.delete_file(f"{base}/.{name}.{attempt}")
+            raise
 
     return write
 
@@ -99,35 +105,31 @@ def _run(df: DataFrame, path: str, mode: str) -> Written:
     return Written(total["files"], total["rows"])
 
 
-def write_series_dir(lines: DataFrame, path: str, mode: str = "error", file_rows: int = FILE_ROWS) -> Written:
+def write_series_dir(lines: DataFrame, path: str, mode: str = "error", period: Column | None = None) -> Written:
     """``(id, ts, line)`` as files ``NNNNN.data`` with CR LF lines sorted by time.
 
-    A series above ``file_rows`` records is spread over several tasks and gets
-    ``NNNNN.PPPPPP.data`` files, which follow each other in time; readers take
-    the id before the first dot either way. ``mode='overwrite'`` empties the
-    folder first.
+    A file is written by one task from sorted rows, whatever its length.
+    ``period`` is a text that grows with time, such as the year; with it a
+    series has a file ``NNNNN.PERIOD.data`` for each period and as many tasks.
+    Readers take the id before the first dot either way. ``mode='overwrite'``
+    empties the folder first.
     """
-    lines = lines.select("id", "ts", F.concat(F.coalesce("line", F.lit("")), F.lit("\r\n")).alias("line"))
-    small, large = split_large_groups(lines, ["id"], file_rows)
-    pieces = []
-    if small is not None:
-        sort = [F.col("id"), F.col("ts").asc_nulls_last(), F.col("line")]
-        pieces.append(
-            small.repartition("id").sortWithinPartitions(*sort).select(
-                F.format_string("%05d.data", "id").alias("file"), "line"
-            )
-        )
-    if large is not None:
-        pieces.append(
-            unpacked(ordered_ranges(large, ["id", "ts"])).select(
-                F.format_string("%05d.%06d.data", F.col("id"), F.spark_partition_id()).alias("file"), "line"
-            )
-        )
-    out = pieces[0] if len(pieces) == 1 else pieces[0].unionAll(pieces[1])
-    return _run(out, path, mode)
+    name = F.format_string("%05d.data", "id") if period is None else F.format_string("%05d.%s.data", F.col("id"), period)
+    rows = lines.select(
+        name.alias("file"), "ts", F.concat(F.coalesce("line", F.lit("")), F.lit("\r\n")).alias("line")
+    )
+    sort = [F.col("file"), F.col("ts").asc_nulls_last(), F.col("line")]
+    return _run(rows.repartition("file").sortWithinPartitions(*sort).select("file", "line"), path, mode)
 
 
 def write_blobs(df: DataFrame, path: str, name: Column, blob: str, mode: str = "error") -> Written:
-    """One file per row, named by an expression; rows without content or name are skipped."""
+    """One file per row, named by an expression; rows without content or name are skipped.
+
+    Two rows with one name are an error, found before anything is written.
+    """
     files = df.select(name.alias("file"), F.col(blob).cast("binary").alias("content"))
-    return _run(files.where(F.col("file").isNotNull() & (F.octet_length("content") > 0)), path, mode)
+    files = files.where(F.col("file").isNotNull() & (F.octet_length("content") > 0))
+    repeated = files.groupBy("file").agg(F.count("*").alias("n")).where("n > 1").limit(1).collect()
+    if repeated:
+        raise ValueError(f"{repeated[0]['n']} rows for the file {repeated[0]['file']}")
+    return _run(files, path, mode)

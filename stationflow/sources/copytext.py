@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
+from pyspark.sql.window import Window
+
+from stationflow.session import work_dir, written
 
 # The escapes of the dump format besides \\ and \N.
 _ESCAPES = [("b", "\b"), ("f", "\f"), ("n", "\n"), ("r", "\r"), ("t", "\t"), ("v", "\v")]
 
 _HEADER = r"^COPY +([^ (]+) *\((.*)\) +FROM +stdin;$"
-_MAX_MARKS = 100_000
 
 
 def _unescaped(field: Column) -> Column:
@@ -59,51 +59,71 @@ def read_copy_text(spark: SparkSession, path: str, schema: StructType | str) ->
 
 
 def read_copy_dump(spark: SparkSession, path: str, schemas: dict[str, StructType | str]) -> dict[str, DataFrame]:
-    """Several tables from one dump file with ``COPY table (columns) FROM stdin;`` headers.
-
-    A row belongs to the header before it in its file. A line's place is its
-    split's offset in the file plus its number within the task, so files are read
-    in parallel and only the headers and end marks come to the driver. Columns
-    are taken by the header's names. Every table is a scan of its own.
+    """Several tables from dump files with ``COPY table (columns) FROM stdin;`` headers.
+
+    The lines are read once and written with their place: file, the begin of
+    their split, and their number in it. A row belongs to the last header before
+    it in its file: within a split that is the last one above it, and each split
+    takes over the header that is open where it begins, from a table with a row
+    per split. So neither the number of headers nor the length of a file meets a
+    single task or the driver. Columns are taken by the headers' names. A table
+    without its end mark is an error.
     """
+    places = Window.partitionBy("file", "block").orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
+    value = F.col("value")
+    inside = F.regexp_extract(value, _HEADER, 1) != ""
     lines = spark.read.option("lineSep", "\n").text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
-    value = F.col("value")
-    found = lines.where((value == r"\.") | value.rlike(_HEADER)).limit(_MAX_MARKS + 1).collect()
-    if len(found) > _MAX_MARKS:
-        raise ValueError("too many table headers in one file: split it")
-    blocks, opened = [], None
-    for mark in sorted(found, key=lambda m: (m["file"], m["block"], m["row"])):
-        header = re.match(_HEADER, mark["value"])
-        place = (mark["block"], mark["row"])
-        if header and (opened is None or opened[0] != mark["file"]):
-            columns = [c.strip().strip('"') for c in header.group(2).split(",")]
-            opened = (mark["file"], header.group(1).strip('"'), columns, place)
-        elif opened is not None and opened[0] == mark["file"] and mark["value"] == r"\.":
-            blocks.append((*opened, place))
-            opened = None
-    place = F.struct("block", "row")
+    header = F.struct(F.regexp_extract(value, _HEADER, 1).alias("name"), F.regexp_extract(value, _HEADER, 2).alias("columns"))
+    lines = written(lines.withColumns({"header": F.when(inside, header), "end": value == r"\."}), "dump-lines")
+    # The mark that counts for a line: the last header or end before it.
+    mark = F.when(F.col("header").isNotNull() | F.col("end"), F.struct("end", "header"))
+    splits = lines.groupBy("file", "block").agg(
+        F.max_by(mark, F.when(mark.isNotNull(), F.col("row"))).alias("last"),
+    )
+    ahead = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    opened = splits.select(
+        F.col("file").alias("_file"), F.col("block").alias("_block"), F.last("last", ignorenulls=True).over(ahead).alias("open"),
+    )
+    followed = lines.withColumn("mark", F.last(mark, ignorenulls=True).over(places))
+    placed = followed.join(opened, (F.col("file") == F.col("_file")) & (F.col("block") == F.col("_block")))
+    current = F.coalesce("mark", "open")
+    _check_ends(lines)
+    rows = placed.where(F.col("header").isNull() & ~F.col("end")).withColumn("current", current)
+    rows = rows.where(~F.col("current.end")).select("value", F.col("current.header.name").alias("name"), F.col("current.header.columns").alias("columns"))
+    named = F.regexp_replace("name", '^"|"$', "")
+    rows = rows.withColumn("name", named).where(F.col("name").isin(list(schemas)))
+    folder = work_dir(spark, "dump-tables")
+    rows.write.partitionBy("name").parquet(folder)
     tables: dict[str, DataFrame] = {}
-    for file, name, columns, start, end in blocks:
-        if name not in schemas:
-            continue
-        schema = schemas[name]
+    stored = spark.read.schema("value string, columns string, name string").parquet(folder)
+    for found in sorted(stored.select("name", "columns").distinct().collect()):
+        schema = schemas[found["name"]]
         schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-        listed = StructType([schema[c] for c in columns])
-        inside = lines.where(
-            (F.col("file") == file)
-            & (place > F.struct(F.lit(start[0]).alias("block"), F.lit(start[1]).alias("row")))
-            & (place < F.struct(F.lit(end[0]).alias("block"), F.lit(end[1]).alias("row")))
-        )
-        rows = parse_copy_lines(inside, listed)
-        tables[name] = tables[name].unionByName(rows, allowMissingColumns=True) if name in tables else rows
+        listed = StructType([schema[c.strip().strip('"')] for c in found["columns"].split(",")])
+        own = stored.where((F.col("name") == found["name"]) & (F.col("columns") == found["columns"]))
+        parsed = parse_copy_lines(own, listed)
+        known = tables.get(found["name"])
+        tables[found["name"]] = parsed if known is None else known.unionByName(parsed, allowMissingColumns=True)
+    for name in {r["name"] for r in lines.where("header IS NOT NULL").select(F.regexp_replace("header.name", '^"|"$', "").alias("name")).distinct().collect()}:
+        if name in schemas and name not in tables:  # a header without rows
+            schema = schemas[name]
+            tables[name] = spark.createDataFrame([], StructType.fromDDL(schema) if isinstance(schema, str) else schema)
     return tables
 
 
+def _check_ends(lines: DataFrame) -> None:
+    """Every header is followed by its end mark before the next header of its file."""
+    marks = lines.where(F.col("header").isNotNull() | F.col("end"))
+    after = F.lead("end").over(Window.partitionBy("file").orderBy("block", "row"))
+    unended = marks.withColumn("ended", after).where(F.col("header").isNotNull() & ~F.coalesce("ended", F.lit(False)))
+    found = unended.select("file", "header.name").limit(1).collect()
+    if found:
+        raise ValueError(f"no end mark for table {found[0]['name']} in {found[0]['file']}")
+
+
 def copy_lines(df: DataFrame) -> DataFrame:
     """Rows as dump lines in one ``value`` column."""
     fields = [F.coalesce(_escaped(F.col(c).cast("string")), F.lit(r"\N")) for c in df.columns]

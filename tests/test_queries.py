@@ -8,6 +8,7 @@ sys.path.insert(0, "tests")
 
 import __spark_entry__ as entry
 from oracle import compare, connect
+from stationflow import queries as registry
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -17,9 +18,9 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(spark, con, name):
-    same, _, difference = compare(entry.queries()[name](spark, FOLDER), con, entry.oracle_sql()[name])
+    same, _, difference = compare(registry.QUERIES[name](spark, FOLDER), con, registry.SQL[name])
     assert same, difference
 
 
@@ -28,4 +29,5 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.SQL)
+    assert set(registry.QUERIES) <= set(entry.queries()) and set(registry.SQL) <= set(entry.oracle_sql())

@@ -1,3 +1,4 @@
+import os
 import types
 
 import pytest
@@ -24,7 +25,9 @@ def test_shared_dir():
     assert session.shared_dir(local) == session.shared_dir(local)
 
 
-def test_checkpoint(spark):
-    frame = session.cut_lineage(spark.range(10).selectExpr("id * 2 AS x"))
-    assert "Range" not in frame._jdf.queryExecution().optimizedPlan().toString()
-    assert frame.count() == 10
+def test_written_and_released(spark):
+    frame = session.written(spark.range(10).selectExpr("id * 2 AS x"), "test")
+    assert frame.count() == 10 and "Range" not in frame._jdf.queryExecution().optimizedPlan().toString()
+    folder = session._FOLDERS[-1][1]
+    session.release()
+    assert not os.path.exists(folder.removeprefix("file:")) and not session._FOLDERS
