@@ -5,12 +5,12 @@
    bounded size, however many copies it holds.
 2. Rounds: every node sends its vector to its neighbours. Those who meet at a node
    are neighbours of a neighbour and are compared there, all against all of a block
-   of bounded size; each keeps the best ones it meets. A list whose last entry is
-   still over the threshold is saturated and doubles.
+   of bounded size; each keeps the best ones it meets. A list is saturated if its
+   ``size`` entries are all over the threshold; it doubles until they are not.
 3. Audit: a bounded sample of vectors is compared with all vectors, in blocks. While
    the links found are fewer than ``recall`` of the true ones, another round follows.
-4. Edges at the threshold, in double precision, give components. A list that is
-   still saturated can't hold its node's links: it is enlarged to its whole
+4. Edges at the threshold, in double precision, give components. A saturated list may
+   miss links that are no closer than those it has: it is enlarged to its whole
    component, without listing it. Members within half the threshold's angle of the
    component's centre are all linked with each other (angles obey the triangle
    inequality) and are only counted; the members further out are compared with all
@@ -36,7 +36,7 @@ from stationflow.llm.components import components
 from stationflow.llm.staging import staged
 
 BLOCK, TABLES, AUDIT, MOST_ROUNDS, MOST_LIST = 256, 6, 1000, 10, 64
-_GRAPH = "node long, ids array<long>, sims array<double>, size int"
+_GRAPH = "node long, ids array<long>, sims array<double>"
 
 
 def near_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.95, size: int = 10, recall: float = 0.98) -> DataFrame:
@@ -78,11 +78,11 @@ def _linked(nodes: DataFrame, dim: int, threshold: float, size: int, recall: flo
     units = staged(nodes, "nodes-of-a-length")
     count = units.count()
     bits = max(0, math.ceil(math.log2(max(1, count / (BLOCK // 4)))))
-    graph = staged(_best(_first(units, dim, min(bits, 30), size), units, threshold, size), "graph")
+    graph = staged(_best(_first(units, dim, min(bits, 30), size), threshold, size), "graph")
     for _ in range(MOST_ROUNDS):
-        graph = staged(_best(_met(graph, units).unionByName(_entries(graph)), units, threshold, size), "graph")
+        graph = staged(_best(_met(graph, units).unionByName(graph), threshold, size), "graph")
         edges = staged(_edges(graph, units, threshold), "edges")
-        saturated = graph.filter((F.size("sims") >= F.col("size")) & (F.element_at("sims", -1) >= threshold)).select("node")
+        saturated = graph.filter(F.get("sims", F.lit(size - 1)) >= threshold).select("node")
         result = staged(_counted(edges, units, saturated, dim, threshold), "counted")
         if _audited(result, units, threshold) >= recall:
             break
@@ -129,10 +129,6 @@ def _blocks(rows: DataFrame, key: str, size: int) -> DataFrame:
 _LISTS = pa.schema([("node", pa.int64()), ("ids", pa.list_(pa.int64())), ("sims", pa.list_(pa.float64()))])
 
 
-def _entries(graph: DataFrame) -> DataFrame:
-    return graph.select("node", "ids", "sims")
-
-
 def _met(graph: DataFrame, units: DataFrame) -> DataFrame:
     """Neighbours of a common neighbour, compared at it."""
     def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,7 +141,7 @@ def _met(graph: DataFrame, units: DataFrame) -> DataFrame:
     return _blocks(sent.mapInArrow(narrow, "target long, node long, unit binary"), "target", MOST_LIST // 4)
 
 
-def _best(lists: DataFrame, units: DataFrame, threshold: float, size: int) -> DataFrame:
+def _best(lists: DataFrame, threshold: float, size: int) -> DataFrame:
     """Each node's best neighbours; a saturated list keeps twice as many, up to MOST_LIST."""
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,8 +154,8 @@ def _best(lists: DataFrame, units: DataFrame, threshold: float, size: int) -> Da
                 k = size
                 while k < min(MOST_LIST, len(ranked)) and ranked[k - 1][1] >= threshold:
                     k *= 2
-                out.append({"node": row["node"], "ids": [x for x, _ in ranked[:k]], "sims": [s for _, s in ranked[:k]], "size": k})
-            yield pa.RecordBatch.from_pylist(out, schema=_LISTS.append(pa.field("size", pa.int32())))
+                out.append({"node": row["node"], "ids": [x for x, _ in ranked[:k]], "sims": [s for _, s in ranked[:k]]})
+            yield pa.RecordBatch.from_pylist(out, schema=_LISTS)
 
     parts = lists.groupBy("node").agg(F.collect_list(F.struct("ids", "sims")).alias("parts"))
     return parts.mapInArrow(merge, _GRAPH)

@@ -1,45 +1,19 @@
-"""Document keys and tables written to the shared folder."""
+"""Document keys and texts on their way through shuffles; written tables come from the session."""
 
 from __future__ import annotations
 
-import atexit
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+import pyarrow as pa
+import zstandard
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from stationflow.session import work_dir
+from stationflow.session import work_dir as new_folder, written as staged
 
-#: Folders of this session's staged tables, removed by ``release`` or at its end.
-_FOLDERS: list[tuple[SparkSession, str]] = []
+__all__ = ["keyed", "new_folder", "opened", "squeezed", "staged", "text_bytes", "unique_ids"]
 
-
-def new_folder(spark: SparkSession, label: str) -> str:
-    """A folder name below ``spark.checkpoint.dir``; it goes with ``release``."""
-    if not _FOLDERS:
-        atexit.register(release)
-    _FOLDERS.append((spark, folder := work_dir(spark, label)))
-    return folder
-
-
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder.
-
-    Used where a table is read more than once, or where a later step must see
-    the very rows of an earlier one: a lost executor then costs a file read.
-    """
-    folder = new_folder(df.sparkSession, label)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
-def release() -> None:
-    """Delete the staged tables. Results not yet written can't be read after it."""
-    while _FOLDERS:
-        spark, folder = _FOLDERS.pop()
-        try:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-        except Exception:  # the session may be gone at the end of the process
-            return
+#: Text held at a time where squeezed texts are opened.
+OPENED_BYTES = 16 << 20
 
 
 def text_bytes(column: Column) -> Column:
@@ -66,3 +40,33 @@ def unique_ids(docs: DataFrame, id_col: str) -> bool:
         return False
     repeated = docs.groupBy(id_col).count().filter((F.col("count") > 1) | F.col(id_col).isNull())
     return repeated.isEmpty()
+
+
+def squeezed(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_text`` compressed, text by text, before they are shuffled."""
+    return rows.mapInArrow(_squeeze, rows.schema)
+
+
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    coder = zstandard.ZstdCompressor(level=3, write_checksum=False)
+    for batch in batches:
+        texts = pa.array([coder.compress(x) for x in batch["_text"].to_pylist()], pa.binary())
+        yield batch.set_column(batch.schema.get_field_index("_text"), "_text", texts)
+
+
+def opened(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[pa.RecordBatch]:
+    """Batches of squeezed texts with the texts as they were, a few megabytes at a time."""
+    coder = zstandard.ZstdDecompressor()
+    for batch in batches:
+        at = 0
+        while at < batch.num_rows:
+            to, size = at, 0
+            while to < batch.num_rows and (to == at or size < OPENED_BYTES):
+                size += sum(zstandard.frame_content_size(batch[name][to].as_buffer()) for name in columns)
+                to += 1
+            part = batch.slice(at, to - at)
+            for name in columns:
+                texts = pa.array([coder.decompress(x) for x in part[name].to_pylist()], pa.binary())
+                part = part.set_column(part.schema.get_field_index(name), name, texts)
+            yield part
+            at = to
