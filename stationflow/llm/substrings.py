@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stationflow.llm.staging import keyed
+from stationflow.llm.staging import keyed, opened, squeezed
 from stationflow.llm.tokens import Words, inside_documents, shingles, words
 
 _KEPT = "_id {id}, n_words long, spans array<struct<start:int,end:int>>, n_removed long, kept binary"
@@ -47,10 +47,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     seeds = rows.select("_key", "_text").mapInArrow(lambda batches: _seeds(batches, length, seed_words), "seed long, _key long, place int")
     shared = _repeated(seeds, "seed")
     places = seeds.join(shared, "seed").groupBy("_key").agg(F.collect_list("place").alias("places"))
-    windows = rows.join(places, "_key").select("_id", "_key", "_text", "places")
+    texts = squeezed(rows)  # both joins are left ones, so one exchange of the texts serves them
+    windows = texts.join(places, "_key", "left").select("_id", "_key", "_text", "places")
     windows = windows.mapInArrow(lambda batches: _windows(batches, length, seed_words), "window long, _key long, start int")
     starts = windows.join(_repeated(windows, "window"), "window").groupBy("_key").agg(F.collect_list("start").alias("starts"))
-    marked = rows.join(starts, "_key", "left").select("_id", "_key", "_text", "starts")
+    marked = texts.join(starts, "_key", "left").select("_id", "_key", "_text", "starts")
     kind = docs.schema[id_col].dataType.simpleString()
     kept = marked.mapInArrow(lambda batches: _cut(batches, length), _KEPT.format(id=kind))
     return kept.select(F.col("_id").alias(id_col), "n_words", "spans", "n_removed", F.col("kept").cast("string").alias("kept"))
@@ -104,7 +105,7 @@ def _listed(batch: pa.RecordBatch, column: str, w: Words) -> np.ndarray:
 
 
 def _windows(batches: Iterator[pa.RecordBatch], length: int, k: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in opened(batches, "_text"):
         keys = batch["_key"].to_numpy(zero_copy_only=False)
         for w in words(batch["_text"]):
             _, picked, whole = _picked(w, length, k)
@@ -115,7 +116,7 @@ def _windows(batches: Iterator[pa.RecordBatch], length: int, k: int) -> Iterator
 
 
 def _cut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in opened(batches, "_text"):
         texts = batch["_text"]
         for w in words(texts, hashed=False):
             begins = np.zeros(len(w.starts) + 1, np.int32)
