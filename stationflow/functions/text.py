@@ -123,8 +123,8 @@ def media_path(
     )
 
 
-def drawing_path(prefix: str, key: Column | str) -> Column:
-    return F.concat(F.lit(prefix), _col(key).cast("string"), F.lit(".png"))
+def drawing_path(prefix: str, key: Column | str, extension: str = "png") -> Column:
+    return F.concat(F.lit(prefix), _col(key).cast("string"), F.lit(f".{extension}"))
 
 
 def first_stamp(chunk: Column | str) -> Column:

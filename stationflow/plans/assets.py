@@ -42,6 +42,7 @@ from stationflow.sinks.files import Written, write_blobs
 # Offset of the basin ids; beginning of the drawings' file names.
 BASINS = 1000
 DRAWING_NAME = "imported_xsection_"
+DRAWING_EXTENSION = "png"
 
 # Curve subtype -> (document type, order column, number columns, point table).
 CURVES = {
@@ -246,11 +247,14 @@ def completed_entities(entities: DataFrame, links: DataFrame, source: Source) ->
     return update_from(entities, known, {"id": "entity_id"}, sets)
 
 
-def cross_sections(sections: DataFrame) -> DataFrame:
-    """Cross sections with the path of their drawing, '' where there is none."""
+def cross_sections(sections: DataFrame, drawings: str = DRAWING_EXTENSION) -> DataFrame:
+    """Cross sections with the path of their drawing, '' where there is none.
+
+    ``drawings`` is the extension of the files that ``extract_drawings`` writes.
+    """
     rows = project(sections, {
         "id": "id", "closed": or_default("closed", False), "dimensions": or_default("dimensions", ""),
-        "drawing_file": drawing_path(f"gentityfile/{DRAWING_NAME}", "id"), "xsection_type_id": "xsection_type",
+        "drawing_file": drawing_path(f"gentityfile/{DRAWING_NAME}", "id", drawings), "xsection_type_id": "xsection_type",
     })
     undrawn = sections.where(F.col("drawing").isNull())
     return update_where_in(rows, "id", undrawn, "id", {"drawing_file": F.lit("")})
@@ -347,8 +351,8 @@ def fill_curves(documents: DataFrame, source: Source) -> DataFrame:
     return documents
 
 
-def extract_drawings(sections: DataFrame, path: str, mode: str = "error") -> Written:
-    """Write the cross sections' drawings, as stored, one file each."""
-    return write_blobs(
-        sections, path, F.concat(F.lit(DRAWING_NAME), F.col("id").cast("string"), F.lit(".bmp")), "drawing", mode
-    )
+def extract_drawings(
+    sections: DataFrame, path: str, mode: str = "error", drawings: str = DRAWING_EXTENSION
+) -> Written:
+    """Write the cross sections' drawings, as stored, one file each, under the names that ``cross_sections`` gives."""
+    return write_blobs(sections, path, drawing_path(DRAWING_NAME, "id", drawings), "drawing", mode)

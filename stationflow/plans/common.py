@@ -20,10 +20,43 @@ from stationflow.functions.decode import (
 from stationflow.functions.keys import or_default
 from stationflow.functions.text import append_remark, extension, media_path, truncated
 from stationflow.operators.ids import assign_ids, next_id, next_ids
+from stationflow.operators.quality import fk_report
 from stationflow.operators.skew import one_per_key
 from stationflow.operators.tables import append, project, stack
 from stationflow.operators.updates import new
 
+# The references between target tables as (table, column, table, column).
+REFERENCES = (
+    ("garea", "gentity_ptr_id", "gentity", "id"),
+    ("gpoint", "gentity_ptr_id", "gentity", "id"),
+    ("politicaldivision", "garea_ptr_id", "garea", "gentity_ptr_id"),
+    ("politicaldivision", "parent_id", "politicaldivision", "garea_ptr_id"),
+    ("waterdivision", "garea_ptr_id", "garea", "gentity_ptr_id"),
+    ("waterbasin", "garea_ptr_id", "garea", "gentity_ptr_id"),
+    ("waterbasin", "parent_id", "waterbasin", "garea_ptr_id"),
+    ("waterbasin", "water_division_id", "waterdivision", "garea_ptr_id"),
+    ("gentityaltcode", "gentity_id", "gentity", "id"),
+    ("gentityaltcode", "type_id", "gentityaltcodetype", "id"),
+    ("gentityevent", "gentity_id", "gentity", "id"),
+    ("gentityfile", "gentity_id", "gentity", "id"),
+    ("gentitygenericdata", "gentity_id", "gentity", "id"),
+    ("station", "gpoint_ptr_id", "gpoint", "gentity_ptr_id"),
+    ("station", "type_id", "stationtype", "id"),
+    ("instrument", "station_id", "station", "gpoint_ptr_id"),
+    ("instrument", "type_id", "instrumenttype", "id"),
+    ("overseer", "station_id", "station", "gpoint_ptr_id"),
+    ("overseer", "person_id", "person", "lentity_ptr_id"),
+    ("person", "lentity_ptr_id", "lentity", "id"),
+    ("organization", "lentity_ptr_id", "lentity", "id"),
+    ("timeseries", "gentity_id", "gentity", "id"),
+    ("timeseries", "instrument_id", "instrument", "id"),
+    ("timeseries", "variable_id", "variable", "id"),
+    ("timeseries", "time_step_id", "timestep", "id"),
+    ("timeseries", "time_zone_id", "timezone", "id"),
+    ("timeseries", "unit_of_measurement_id", "unitofmeasurement", "id"),
+    ("ts_records", "id", "timeseries", "id"),
+)
+
 Tables = dict[str, DataFrame]
 Source = Mapping[str, DataFrame]
 
@@ -71,6 +104,16 @@ class Target:
         return next_ids({n: self.tables[n] for n in names if n in self.tables and "id" in self.tables[n].columns})
 
 
+def violations(tables: Source) -> DataFrame:
+    """``(reference, violations)`` for every reference between tables that a plan has made."""
+    checks = [
+        (f"{child}.{key}", tables[child], key, tables[parent], parent_key)
+        for child, key, parent, parent_key in REFERENCES
+        if child in tables and parent in tables and key in tables[child].columns and parent_key in tables[parent].columns
+    ]
+    return fk_report(checks)
+
+
 def entity(**columns: Column | str) -> dict[str, Column | str]:
     """A ``gentity`` row; text that is not given is ''."""
     texts = ("name", "short_name", "remarks", "name_alt", "short_name_alt", "remarks_alt")

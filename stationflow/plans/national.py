@@ -162,7 +162,8 @@ def station_tables(stations: DataFrame) -> Tables:
     })
 
 
-def _people(stations: DataFrame, target: Target, one_per_name: bool) -> None:
+def add_people(stations: DataFrame, target: Target, one_per_name: bool = True) -> None:
+    """Persons, their legal entities and overseers from the stations' observers."""
     observed = stations.where(F.col("observer") != "")
     named = observed.select("stationid", word("observer", 1).alias("last_name"), word("observer", 2).alias("first_name"))
     if one_per_name:
@@ -182,13 +183,13 @@ def _people(stations: DataFrame, target: Target, one_per_name: bool) -> None:
 
 
 def load(
-    spark: SparkSession, source: Source, service_id: int, existing: Source | None = None, one_person_per_name: bool = False
+    spark: SparkSession, source: Source, service_id: int, existing: Source | None = None, one_person_per_name: bool = True
 ) -> Tables:
     """All target tables, with the stations and instruments of one service.
 
-    By default every station with an observer gives a person of its own, and an
-    overseer row for every person of the same name; ``one_person_per_name``
-    gives one person per name instead.
+    Every observer's name gives one person. With ``one_person_per_name=False``
+    every station with an observer gives a person of its own, and an overseer row
+    for every person of the same name: the square of a name's stations.
     """
     target = Target(existing)
     _lookups(source, target, spark)
@@ -213,7 +214,7 @@ def load(
     }))
     for table, rows in station_tables(stations).items():
         target.add(table, rows)
-    _people(stations, target, one_person_per_name)
+    add_people(stations, target, one_person_per_name)
     target["next_ids"] = target.next_ids(NUMBERED)
     return target.tables
 

@@ -87,10 +87,10 @@ def unpivot_codes_labels(spark, folder):
 
 @query("SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_mktsegment = 'BUILDING' AND c_name <> ''")
 def service_rows(spark, folder):
-    table(spark, folder, "customer").createOrReplaceTempView("service_stations")
     return rows(
         spark,
-        "SELECT c_custkey, c_name, c_acctbal FROM service_stations WHERE c_mktsegment = :service AND c_name <> ''",
+        "SELECT c_custkey, c_name, c_acctbal FROM {stations} WHERE c_mktsegment = :service AND c_name <> ''",
+        {"stations": table(spark, folder, "customer")},
         service="BUILDING",
     )
 

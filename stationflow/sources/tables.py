@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +19,9 @@ RECORD_TABLES = (
 )
 
 
-def rows(spark: SparkSession, sql: str, **arguments: object) -> DataFrame:
-    """The rows of a query; ``:name`` marks an argument."""
-    return spark.sql(sql, args=arguments or None)
+def rows(spark: SparkSession, sql: str, tables: Mapping[str, DataFrame] | None = None, **arguments: object) -> DataFrame:
+    """The rows of a query; ``:name`` marks an argument and ``{name}`` one of ``tables``."""
+    return spark.sql(sql, args=arguments or None, **(tables or {}))
 
 
 def snapshot_names(names: Iterable[str], exclude: Iterable[str] = RECORD_TABLES) -> list[str]:

@@ -160,7 +160,7 @@ def test_segments(spark, tmp_path):
     assert rows(loaded["gentitygenericdata"], "id", "gentity_id", "data_type_id", "content") == [(4, 106, 5, "")]
     assert rows(loaded["gentityfile"], "gentity_id") == [(106,)]
     assert tuple(assets.extract_drawings(source["xsections"], str(tmp_path / "drawings"))) == (1, 1)
-    assert (tmp_path / "drawings" / "imported_xsection_8.bmp").read_bytes() == b"BM"
+    assert (tmp_path / "drawings" / "imported_xsection_8.png").read_bytes() == b"BM"
 
 
 def test_reservoirs(spark):

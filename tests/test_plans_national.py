@@ -6,6 +6,7 @@ from fixtures import NATIONAL, frames, rows
 from pyspark.sql import functions as F
 
 from stationflow.plans import national
+from stationflow.plans.common import violations
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +17,7 @@ def source(spark):
 @pytest.fixture(scope="module")
 def loaded(spark, source):
     existing = {"lentity": spark.createDataFrame([(50, "", "")], "id int, remarks string, remarks_alt string")}
-    return national.load(spark, source, 7, existing)
+    return national.load(spark, source, 7, existing, one_person_per_name=False)
 
 
 def test_areas(loaded):
@@ -70,11 +71,21 @@ def test_people(loaded, spark, source):
     assert rows(loaded["person"], "lentity_ptr_id", "last_name", "first_name") == [(51, "Papas", "Nikos"), (52, "Papas", "Nikos")]
     assert rows(loaded["lentity"], "id") == [(7,), (50,), (51,), (52,)]
     assert rows(loaded["overseer"], "station_id", "person_id") == [(501015, 51), (501015, 52), (501030, 51), (501030, 52)]
-    single = national.load(spark, source, 7, one_person_per_name=True)
+    single = national.load(spark, source, 7)
     assert rows(single["person"], "lentity_ptr_id", "last_name") == [(8, "Papas")]
     assert rows(single["overseer"], "station_id", "person_id") == [(501015, 8), (501030, 8)]
 
 
+def test_references(loaded):
+    found = dict(rows(violations(loaded)))
+    # the fixture has no country, and series of stations of another service
+    assert "politicaldivision.parent_id" in {k for k, n in found.items() if n} and not found["overseer.person_id"]
+    assert {k.split(".")[0] for k, n in found.items() if n} <= {"politicaldivision", "timeseries"}
+    assert {"overseer.person_id", "waterbasin.parent_id", "instrument.station_id"} <= set(found)
+    broken = loaded | {"station": loaded["station"].withColumn("gpoint_ptr_id", F.lit(-1))}
+    assert dict(rows(violations(broken)))["station.gpoint_ptr_id"] == broken["station"].count()
+
+
 def test_next_ids(loaded):
     assert dict(rows(loaded["next_ids"])) == {
         "instrumenttype": 3, "gentity": 501031, "lentity": 53, "stationtype": 3, "timestep": 8, "variable": 1000,
