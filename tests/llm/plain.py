@@ -84,3 +84,13 @@ def base_scores(ids: list, texts: list[str | None]) -> list[tuple[bool, int, int
     count = Counter(x for t, h in zip(tokens, held, strict=True) if not h for x in t)
     total, distinct = sum(count.values()), len(count)
     return [(h, len(t), sum(count[x] > 0 for x in t), total, sum(math.log10((count[x] + 1) / (total + distinct + 1)) for x in t)) for h, t in zip(held, tokens, strict=True)]
+
+
+def cut_lines(rows: list[tuple], ratio: float, least: int) -> list[tuple]:
+    """(id, text, host) with the lines that more than ``ratio`` of a host's pages hold taken out."""
+    pages, holding = Counter(h for _, _, h in rows if h is not None), Counter()
+    for _, text, host in rows:
+        if host is not None and text is not None:
+            holding.update((host, line) for line in set(text.split("\n")) - {""})
+    gone = {x for x, n in holding.items() if n >= least and n > ratio * pages[x[0]]}
+    return [(i, text if text is None else "\n".join(x for x in text.split("\n") if (host, x) not in gone), host) for i, text, host in rows]
