@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stationflow.functions.text import id_from_file_name
+from stationflow.operators.documents import ordered_text
 from stationflow.operators.series import canonical
 from stationflow.operators.tables import stack
 from stationflow.queries import query, table
@@ -67,25 +68,34 @@ def blobs_roundtrip(spark, folder):
     )
 
 
-_TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
-)
+# Each table with a whole-number column.
+_TABLES = {
+    "region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey",
+    "part": "p_partkey", "orders": "o_custkey", "lineitem": "l_orderkey", "events": "user_id", "documents": "n_chars",
+    "embeddings": "vec_id", "pages": "page_id", "benchmark": "item_id", "labels": "doc_id", "conversations": "turn",
+}
 _APART = ("LINEITEM", "EVENTS", "EMBEDDINGS")
 
 
 @query(
     " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in _TABLES if t.upper() not in _APART
+        f"SELECT '{t}' AS table_name, count(*) AS rows, CAST(sum({c}) AS BIGINT) AS total, md5(string_agg({c}, ',' ORDER BY {c})) AS digest FROM {t}"
+        for t, c in _TABLES.items()
+        if t.upper() not in _APART
     )
 )
 def snapshot_counts(spark, folder):
-    written = snapshot(_TABLES, lambda name: table(spark, folder, name), work_dir(spark, "snapshot"), exclude=_APART)
-    counts = [
-        spark.read.parquet(path).agg(F.count("*").alias("rows")).select(F.lit(name).alias("table_name"), "rows")
-        for name, path in written.items()
-    ]
-    return stack(*counts)
+    written = snapshot(list(_TABLES), lambda name: table(spark, folder, name), work_dir(spark, "snapshot"), exclude=_APART)
+    parts = []
+    for name, path in written.items():
+        value = F.col(_TABLES[name]).cast("long").alias("value")
+        stored = spark.read.parquet(path).select(F.lit(name).alias("table_name"), value)
+        text = ordered_text(
+            stored, ["table_name"], ["value"], F.col("value").cast("string"), name="_values", sep=",",
+            extra={"rows": F.count("*"), "total": F.sum("value")},
+        )
+        parts.append(text.select("table_name", "rows", "total", F.md5("_values").alias("digest")))
+    return stack(*parts)
 
 
 @query("""
@@ -107,14 +117,18 @@ def replace_series(spark, folder):
     )
 
 
-@query("SELECT 'orders' AS table_name, count(*) AS rows FROM orders UNION ALL SELECT 'customer', 2 * count(*) FROM customer")
+@query("""
+    SELECT 'orders' AS table_name, o_orderkey AS id, o_totalprice AS amount FROM orders
+    UNION ALL SELECT 'customer', c_custkey, c_acctbal FROM customer
+    UNION ALL SELECT 'customer', c_custkey, c_acctbal FROM customer
+""")
 def append_tables(spark, folder):
     tables = {name: table(spark, folder, name) for name in ("orders", "customer")}
     path = work_dir(spark, "tables")
     written = write_tables(tables, path, prefix="new_")
     write_tables({"customer": tables["customer"]}, path, prefix="new_")
-    counts = [
-        spark.read.parquet(p).agg(F.count("*").alias("rows")).select(F.lit(name).alias("table_name"), "rows")
-        for name, p in written.items()
-    ]
-    return stack(*counts)
+    columns = {"orders": ("o_orderkey", "o_totalprice"), "customer": ("c_custkey", "c_acctbal")}
+    return stack(*[
+        spark.read.parquet(written[name]).select(F.lit(name).alias("table_name"), F.col(i).alias("id"), F.col(a).alias("amount"))
+        for name, (i, a) in columns.items()
+    ])

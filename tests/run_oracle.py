@@ -1,9 +1,11 @@
 """Compare all queries (or the named ones) with their SQL: run_oracle.py [folder] [name …]."""
 
+import os
 import sys
 import time
 
-sys.path[:0] = ["/root/repo", "/root/repo/tests"]
+_TESTS = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(_TESTS), _TESTS]
 
 import __spark_entry__ as entry
 from oracle import compare, connect

@@ -142,3 +142,15 @@ def test_moments(spark):
     assert texts == [("2008-01-31 23:05",) * 2, ("2008-02-01 00:00",) * 2, ("2008-03-30 03:30",) * 2]
     assert evaluate(spark, "c string", [("2008-01-31T23:05,1,x\n2009",), ("",), (None,)], first_stamp("c")) == ["2008-01-31T23:05", "", None]
     assert rows(spark.range(1).select(minute_stamp(F.lit("2008-01-31T23:05")))) == [(dt.datetime(2008, 1, 31, 23, 5),)]
+
+
+def test_fixed_maps():
+    """The comparison SQL is made of these values, so their counts and sums are held here."""
+    places = values.PREFECTURE_DIVISIONS
+    assert (len(places), sum(places), sum(places.values())) == (51, 2262, 21797)
+    assert {k: (len(x), sum(x)) for k, x in values.INSTRUMENT_TYPE_MEMBERS.items()} == {
+        1: (20, 1068), 2: (19, 1109), 3: (10, 604), 4: (10, 551), 5: (10, 561), 6: (10, 571), 7: (10, 581),
+        8: (1, 76), 9: (10, 621), 10: (1, 79), 11: (1, 80),
+    }
+    pairs = values.UNIT_VARIABLES
+    assert (len(pairs), sum(map(len, pairs.values())), sum(map(sum, pairs.values()))) == (14, 61, 2553)
