@@ -10,12 +10,12 @@ their sets' intersection is at least ``share`` hundredths of the union.
    |x| - share*|x| + 1 of each, or ``m`` tokens among ``m - 1`` more. Each document
    takes the ``m`` that costs least: the length of the lists its prefix meets, plus
    the candidates it expects, at most those lists divided by ``m``.
-3. Stars: the tokens of a list are linked to one document of the list, the one with
-   the most frequent prefix, which tends to be the centre of a group of near copies.
+3. Stars: the documents of a token's list are candidates of one of them, the one with
+   the fewest rarer tokens, which tends to be the centre of a group of near copies.
    Candidates that share enough prefix tokens are verified on their whole texts.
 4. What the stars leave open: documents of one list that are not yet connected are
-   candidates of each other, counted over all shared prefix tokens, with the length
-   and position bounds. Only pairs across components remain, so a group of near
+   candidates of each other if a token stands early enough in both to be the first
+   they share, and if they share enough prefix tokens. Only pairs across components remain, so a group of near
    copies is not expanded into its pairs, and no link between components is lost.
 
 Lists are joins and counts on tokens, combined before shuffles; a token that a
@@ -32,14 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from stationflow.llm.components import components
-from stationflow.llm.staging import keyed, staged, unique_ids
+from stationflow.llm.staging import keyed, opened, squeezed, staged, unique_ids
 from stationflow.llm.tokens import Words, inside_documents, mix, shingles, words
 
 SKETCH = 1 << 18
 #: Most extra prefix tokens tried, and the cost of verifying a candidate in list entries.
 MOST_MATCHES, VERIFY = 4, 16
 _SALT = np.uint64(0xA0761D6478BD642F)
-_POSTING = "token long, node long, size int, place int, tail int, matches int, weight long"
+_POSTING = "token long, node long, size int, place int, matches int"
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, share: int = 80) -> DataFrame:
@@ -53,13 +53,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     postings = rows.select("_text").mapInArrow(lambda batches: _postings(batches, n, share, sketch), _POSTING)
     shared = postings.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select("token")
     lists = staged(postings.join(shared, "token").distinct(), "lists")
-    texts = rows.join(sets.filter("node IS NOT NULL").groupBy("node").agg(F.min("_key").alias("_key")), "_key").select("node", "_text")
-    first = staged(_verified(_stars(lists, share), texts, n, share), "stars")
+    keys = staged(sets.filter("node IS NOT NULL").groupBy("node").agg(F.min("_key").alias("_key")), "keys")
+    texts = squeezed(rows.select("_key", "_text"))
+    first = staged(_verified(_stars(lists, share), keys, texts, n, share), "stars")
     nodes = components(first.filter("linked").select("a", "b"))
     second = staged(_open_pairs(lists, staged(nodes, "nodes"), share).join(first.select("a", "b"), ["a", "b"], "left_anti"), "open")
     links = first
     if not second.isEmpty():
-        links = links.unionByName(staged(_verified(second, texts, n, share), "links"))
+        links = links.unionByName(staged(_verified(second, keys, texts, n, share), "links"))
         nodes = components(links.filter("linked").select("a", "b"))
     members = sets.join(nodes.withColumnRenamed("component", "_group"), "node", "left")
     members = members.withColumn("_group", F.coalesce("_group", "node"))
@@ -170,54 +171,57 @@ def _postings(batches: Iterator[pa.RecordBatch], n: int, share: int, sketch: np.
             m = _matches(lists, base)
             used = base + m - 1
             tokens.append(own[near[:used]])
-            meta.append((_node(own), size, used, m, int(lists[:base].sum())))
+            meta.append((_node(own), size, used, m))
         if tokens:
             table = np.array(meta, np.int64)
             used = table[:, 2]
             place = np.arange(used.sum()) - np.repeat(np.cumsum(used) - used, used)
-            node, size, _, m, weight = np.repeat(table, used, 0).T
-            yield pa.RecordBatch.from_pydict(
-                {"token": np.concatenate(tokens).view(np.int64), "node": node, "size": size.astype(np.int32), "place": place.astype(np.int32), "tail": (size - place).astype(np.int32), "matches": m.astype(np.int32), "weight": weight}
-            )
+            node, size, _, m = np.repeat(table, used, 0).T
+            yield pa.RecordBatch.from_pydict({"token": np.concatenate(tokens).view(np.int64), "node": node, "size": size.astype(np.int32), "place": place.astype(np.int32), "matches": m.astype(np.int32)})
 
 
-def _possible(share: int) -> str:
-    """Sizes and places that leave room for a link, if this token is the first that x and y share."""
+def _possible(share: int, matches: str) -> str:
+    """Sizes and places that leave room for a link, if this is one of the first ``matches`` tokens that x and y share."""
     # a link needs (100 + share) * intersection >= share * (|x| + |y|)
-    return f"100 * least(x.size, y.size) >= {share} * greatest(x.size, y.size) AND (100 + {share}) * (least(x.tail, y.tail) + least(x.matches, y.matches) - 1) >= {share} * (x.size + y.size)"
+    return f"100 * least(x.size, y.size) >= {share} * greatest(x.size, y.size) AND (100 + {share}) * (least(x.size - x.place, y.size - y.place) + {matches} - 1) >= {share} * (x.size + y.size)"
 
 
 def _stars(lists: DataFrame, share: int) -> DataFrame:
     """Candidates (a, b): each list's documents with its centre, if they share enough tokens of such lists."""
-    centre = lists.groupBy("token").agg(F.max(F.struct("weight", "size", "node", "place", "tail", "matches")).alias("c")).select("token", "c.*")
-    pairs = lists.alias("x").join(centre.alias("y"), "token").where(f"x.node <> y.node AND {_possible(share)}")
-    return _counted(pairs)
+    centre = lists.groupBy("token").agg(F.min(F.struct("place", "size", "node", "matches")).alias("c")).select("token", "c.*")
+    pairs = lists.alias("x").join(centre.alias("y"), "token").where(f"x.node <> y.node AND {_possible(share, 'least(x.matches, y.matches)')}")
+    ends = pairs.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b"), F.least("x.matches", "y.matches").alias("m"))
+    return ends.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("m").alias("m")).filter("n >= m").select("a", "b")
 
 
 def _open_pairs(lists: DataFrame, nodes: DataFrame, share: int) -> DataFrame:
-    """Candidates (a, b) of different components."""
+    """Candidates (a, b) of different components.
+
+    The first token that two linked sets share stands early in both. Pairs that have
+    such a token are found first; only for them all shared tokens are counted.
+    """
     marked = lists.join(nodes, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = marked.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("token")
     open_ = staged(marked.join(mixed, "token", "left_semi"), "mixed")
-    pairs = open_.alias("x").join(open_.alias("y"), "token").where(f"x.component <> y.component AND (x.size, x.node) > (y.size, y.node) AND {_possible(share)}")
-    return _counted(pairs)
-
-
-def _counted(pairs: DataFrame) -> DataFrame:
-    ends = pairs.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b"), F.least("x.matches", "y.matches").alias("m"))
-    return ends.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("m").alias("m")).filter("n >= m").select("a", "b")
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, n: int, share: int) -> DataFrame:
-    """(a, b, linked) by the whole texts of both."""
-    left = pairs.join(texts.select(F.col("node").alias("a"), F.col("_text").alias("ta")), "a")
-    both = left.join(texts.select(F.col("node").alias("b"), F.col("_text").alias("tb")), "b").select("a", "b", "ta", "tb")
+    early = open_.filter(f"100 * (size - place) >= {share} * size")
+    pairs = early.alias("x").join(early.alias("y"), "token").where(f"x.component <> y.component AND x.node > y.node AND {_possible(share, '1')}")
+    pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    prefixes = lists.groupBy("node").agg(F.collect_list("token").alias("tokens"), F.first("matches").alias("matches"))
+    both = pairs.join(prefixes.toDF("a", "ta", "ma"), "a").join(prefixes.toDF("b", "tb", "mb"), "b")
+    return both.filter("size(array_intersect(ta, tb)) >= least(ma, mb)").select("a", "b")
+
+
+def _verified(pairs: DataFrame, keys: DataFrame, texts: DataFrame, n: int, share: int) -> DataFrame:
+    """(a, b, linked) by the whole texts of both, whose one exchange serves both joins."""
+    named = pairs.join(keys.toDF("a", "ka"), "a").join(keys.toDF("b", "kb"), "b")
+    left = named.join(texts.toDF("ka", "ta"), "ka")
+    both = left.join(texts.toDF("kb", "tb"), "kb").select("a", "b", "ta", "tb")
     return both.mapInArrow(lambda batches: _linked(batches, n, share), "a long, b long, linked boolean")
 
 
 def _linked(batches: Iterator[pa.RecordBatch], n: int, share: int) -> Iterator[pa.RecordBatch]:
     last, kept = None, None
-    for batch in batches:
+    for batch in opened(batches, "ta", "tb"):
         out = np.zeros(batch.num_rows, bool)
         mine = dict(_each(batch.select(["ta"]).rename_columns(["_text"]), n))
         other = batch["b"].to_pylist()
