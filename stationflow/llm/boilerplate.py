@@ -20,6 +20,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from stationflow.operators.skew import one_per_key
+
 #: Share of a host's pages beyond which a line is boilerplate, and pages it needs at least.
 RATIO, MIN_PAGES = 0.1, 3
 
@@ -33,10 +35,10 @@ def drop_boilerplate(pages: DataFrame, text_col: str = "text", host: Column | No
     host = F.col("source") if host is None else host
     lines = F.split(F.col(text_col), "\n", -1)
     seen = pages.select(host.alias("_host"), F.array_distinct(F.transform(F.filter(lines, lambda x: x != ""), _hash)).alias("_lines"))
-    totals = seen.filter("_host IS NOT NULL").groupBy("_host").agg(F.count("*").alias("_pages"))
+    totals = one_per_key(seen.filter("_host IS NOT NULL"), ["_host"], F.count("*").alias("_pages"))
     counts = seen.filter("_host IS NOT NULL").select("_host", F.explode("_lines").alias("_line")).groupBy("_host", "_line").agg(F.count("*").alias("_n")).filter(F.col("_n") >= min_pages)
     common = counts.join(totals, "_host").filter(F.col("_n") > F.lit(ratio) * F.col("_pages"))
-    lists = common.groupBy("_host").agg(F.collect_list("_line").alias("_common"))
+    lists = one_per_key(common, ["_host"], F.collect_list("_line").alias("_common"))
     joined = pages.withColumn("_host", host).join(lists, "_host", "left")
     kept = F.filter(lines, lambda x: (x == "") | ~F.array_contains(F.col("_common"), _hash(x)))
     joined = joined.withColumn("_kept", F.when(F.col("_common").isNull(), lines).otherwise(kept))

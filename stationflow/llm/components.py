@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from stationflow.llm.staging import staged
+from stationflow.operators.skew import one_per_key
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -38,7 +39,7 @@ def _directed(links: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link each node's larger neighbours to the smallest of the node and its neighbours."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m"))
+    least = one_per_key(both, ["a"], F.min("b").alias("m"))
     larger = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))  # b > a
     joined = larger.join(least, "a").select(F.col("b").alias("a"), F.least("m", "a").alias("b"))
     return joined.filter("a <> b").distinct()
@@ -46,6 +47,6 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link each node and its smaller neighbours to the smallest of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = one_per_key(edges, ["a"], F.min("b").alias("m"))
     moved = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()

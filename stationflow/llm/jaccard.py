@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 from stationflow.llm.components import components
 from stationflow.llm.staging import keyed, opened, squeezed, staged, unique_ids
 from stationflow.llm.tokens import Words, inside_documents, mix, shingles, words
+from stationflow.operators.skew import one_per_key
 
 SKETCH = 1 << 18
 #: Most extra prefix tokens tried, and the cost of verifying a candidate in list entries.
@@ -51,7 +52,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = staged(rows.mapInArrow(lambda batches: _sets(batches, n), f"_id {kind}, _key long, n_shingles long, node long"), "sets")
     sketch = _sketch(rows, n)
     postings = rows.select("_text").mapInArrow(lambda batches: _postings(batches, n, share, sketch), _POSTING)
-    shared = postings.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select("token")
+    shared = one_per_key(postings, ["token"], F.count("*").alias("n")).filter("n > 1").select("token")
     lists = staged(postings.join(shared, "token").distinct(), "lists")
     keys = staged(sets.filter("node IS NOT NULL").groupBy("node").agg(F.min("_key").alias("_key")), "keys")
     texts = squeezed(rows.select("_key", "_text"))
@@ -64,7 +65,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         nodes = components(links.filter("linked").select("a", "b"))
     members = sets.join(nodes.withColumnRenamed("component", "_group"), "node", "left")
     members = members.withColumn("_group", F.coalesce("_group", "node"))
-    least = members.filter("_group IS NOT NULL").groupBy("_group").agg(F.min("_id").alias("component_id"))
+    least = one_per_key(members.filter("_group IS NOT NULL"), ["_group"], F.min("_id").alias("component_id"))
     out = members.join(least, "_group", "left")
     return out.select(F.col("_id").alias(id_col), "n_shingles", F.coalesce("component_id", "_id").alias("component_id"))
 
@@ -188,7 +189,7 @@ def _possible(share: int, matches: str) -> str:
 
 def _stars(lists: DataFrame, share: int) -> DataFrame:
     """Candidates (a, b): each list's documents with its centre, if they share enough tokens of such lists."""
-    centre = lists.groupBy("token").agg(F.min(F.struct("place", "size", "node", "matches")).alias("c")).select("token", "c.*")
+    centre = one_per_key(lists, ["token"], F.min(F.struct("place", "size", "node", "matches")).alias("c")).select("token", "c.*")
     pairs = lists.alias("x").join(centre.alias("y"), "token").where(f"x.node <> y.node AND {_possible(share, 'least(x.matches, y.matches)')}")
     ends = pairs.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b"), F.least("x.matches", "y.matches").alias("m"))
     return ends.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("m").alias("m")).filter("n >= m").select("a", "b")
@@ -201,12 +202,12 @@ def _open_pairs(lists: DataFrame, nodes: DataFrame, share: int) -> DataFrame:
     such a token are found first; only for them all shared tokens are counted.
     """
     marked = lists.join(nodes, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = marked.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("token")
+    mixed = one_per_key(marked, ["token"], F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("token")
     open_ = staged(marked.join(mixed, "token", "left_semi"), "mixed")
     early = open_.filter(f"100 * (size - place) >= {share} * size")
     pairs = early.alias("x").join(early.alias("y"), "token").where(f"x.component <> y.component AND x.node > y.node AND {_possible(share, '1')}")
     pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    prefixes = lists.groupBy("node").agg(F.collect_list("token").alias("tokens"), F.first("matches").alias("matches"))
+    prefixes = one_per_key(lists, ["node"], F.collect_list("token").alias("tokens"), F.first("matches").alias("matches"))
     both = pairs.join(prefixes.toDF("a", "ta", "ma"), "a").join(prefixes.toDF("b", "tb", "mb"), "b")
     return both.filter("size(array_intersect(ta, tb)) >= least(ma, mb)").select("a", "b")
 

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from stationflow.llm.components import components
 from stationflow.llm.staging import staged
+from stationflow.operators.skew import one_per_key
 
 BLOCK, TABLES, AUDIT, MOST_ROUNDS, MOST_LIST = 256, 6, 1000, 10, 64
 _GRAPH = "node long, ids array<long>, sims array<double>"
@@ -47,7 +48,7 @@ def near_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     nodes = staged(nodes.withColumn("dim", F.length("unit")), "nodes")
     found = [_linked(nodes.filter(F.col("dim") == d).drop("dim"), d // 8, threshold, size, recall) for d in sorted(r["dim"] for r in nodes.select("dim").distinct().collect())]
     links = reduce(DataFrame.unionByName, found) if found else nodes.select("node", F.lit(0).cast("long").alias("more"), F.col("node").alias("component"))
-    least = nodes.select("node", "least").join(links.select("node", "component"), "node").groupBy("component").agg(F.min("least").alias("component_id"))
+    least = one_per_key(nodes.select("node", "least").join(links.select("node", "component"), "node"), ["component"], F.min("least").alias("component_id"))
     each = nodes.select("unit", "node", "weight").join(links, "node").join(least, "component")
     out = rows.join(each.select("unit", (F.col("weight") - 1 + F.col("more")).alias("n_links"), "component_id"), "unit", "left")
     out = out.select("_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "_id").alias("component_id"))
@@ -109,7 +110,7 @@ def _first(units: DataFrame, dim: int, bits: int, size: int) -> DataFrame:
 def _blocks(rows: DataFrame, key: str, size: int) -> DataFrame:
     """(node, ids, sims): the best of the rows that share a key, in blocks of about BLOCK rows."""
     rows = staged(rows, "blocks")
-    counts = rows.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1")
+    counts = one_per_key(rows, [key], F.count("*").alias("n")).filter("n > 1")
     dealt = rows.join(counts, key).withColumn("block", F.pmod(F.xxhash64("node", key), F.ceil(F.col("n") / BLOCK)))
 
     def best(keys: tuple, table: pa.Table) -> pa.Table:
@@ -180,7 +181,7 @@ def _edges(graph: DataFrame, units: DataFrame, threshold: float) -> DataFrame:
 def _counted(edges: DataFrame, units: DataFrame, saturated: DataFrame, dim: int, threshold: float) -> DataFrame:
     """(node, more, component) with the components of saturated lists counted whole."""
     found = staged(components(edges), "components")
-    dense = found.join(saturated, "node", "left_semi").select("component").distinct().withColumn("dense", F.lit(True))
+    dense = one_per_key(found.join(saturated, "node", "left_semi"), ["component"]).withColumn("dense", F.lit(True))
     every = staged(units.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).join(dense, "component", "left"), "members")
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     sparse = every.filter("dense IS NULL")
@@ -196,7 +197,8 @@ def _whole(members: DataFrame, dim: int, threshold: float) -> DataFrame:
             if batch.num_rows:
                 yield pa.RecordBatch.from_arrays([batch["component"], pa.array(list(_matrix(batch["unit"])), pa.list_(pa.float64()))], names=["component", "v"])
 
-    sums = members.select("component", "unit").mapInArrow(spread, "component long, v array<double>").groupBy("component").agg(*[F.sum(F.col("v")[i]).alias(f"v{i}") for i in range(dim)])
+    sums = members.select("component", "unit").mapInArrow(spread, "component long, v array<double>")
+    sums = one_per_key(sums, ["component"], *[F.sum(F.col("v")[i]).alias(f"v{i}") for i in range(dim)])
     centres = sums.select("component", F.array(*[f"v{i}" for i in range(dim)]).alias("centre"))
     half = math.acos(threshold) / 2
 
@@ -210,7 +212,7 @@ def _whole(members: DataFrame, dim: int, threshold: float) -> DataFrame:
 
     placed = members.join(centres, "component").mapInArrow(angles, "component long, node long, weight long, unit binary, inner boolean")
     placed = staged(placed, "placed")
-    total = placed.filter("inner").groupBy("component").agg(F.sum("weight").alias("all"))
+    total = one_per_key(placed.filter("inner"), ["component"], F.sum("weight").alias("all"))
     counted = placed.filter("inner").join(total, "component").select("node", (F.col("all") - F.col("weight")).alias("more"))
     more = counted.unionByName(_outer(placed, threshold)).groupBy("node").agg(F.sum("more").alias("more"))
     return placed.select("node", "component").join(more, "node", "left").select("node", F.coalesce("more", F.lit(0)).cast("long").alias("more"), "component")
@@ -218,7 +220,7 @@ def _whole(members: DataFrame, dim: int, threshold: float) -> DataFrame:
 
 def _outer(placed: DataFrame, threshold: float) -> DataFrame:
     """(node, more): the links of the members far from the centre, on both ends, block against block."""
-    sizes = placed.groupBy("component", "inner").agg(F.count("*").alias("n"))
+    sizes = one_per_key(placed, ["component", "inner"], F.count("*").alias("n"))
     block = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK))
     blocks = placed.join(sizes, ["component", "inner"]).groupBy("component", "inner", block.alias("block")).agg(F.collect_list(F.struct("node", "weight", "unit")).alias("rows"))
     blocks = staged(blocks, "component-blocks")

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from stationflow.llm.staging import keyed, opened, squeezed
 from stationflow.llm.tokens import Words, inside_documents, shingles, words
+from stationflow.operators.skew import one_per_key
 
 _KEPT = "_id {id}, n_words long, spans array<struct<start:int,end:int>>, n_removed long, kept binary"
 
@@ -58,7 +59,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def _repeated(rows: DataFrame, key: str) -> DataFrame:
-    return rows.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").select(key)
+    return one_per_key(rows, [key], F.count("*").alias("n")).filter("n > 1").select(key)
 
 
 def _picked(w: Words, length: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

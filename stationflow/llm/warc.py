@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stationflow.llm.staging import staged, text_bytes
+from stationflow.operators.skew import one_per_key
 
 REVISIT_BYTES, ARCHIVE_BYTES, RANGE_ROWS = 1000, 16 << 20, 1_000_000
 _ENTRY = "run string, place long, url_key string, captured long, page_id {id}, payload_bytes long, payload_digest string, record_type string, refers_to {id}, record_offset long, record_length long"
@@ -47,7 +48,7 @@ def write_archives(pages: DataFrame, folder: str, captured: Column | None = None
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), text_bytes(F.col("html")).alias("payload"), captured.cast("long").alias("captured"))
     rows = rows.withColumn("digest", F.sha1("payload"))
     large = rows.filter(F.length("payload") >= revisit_bytes)
-    first = large.groupBy("digest").agg(F.max("page_id").alias("response"), F.count("*").alias("n")).filter("n > 1").select("digest", "response")
+    first = one_per_key(large, ["digest"], F.max("page_id").alias("response"), F.count("*").alias("n")).filter("n > 1").select("digest", "response")
     marked = rows.join(first, "digest", "left").withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("response")), F.col("response")))
     marked = marked.select("page_id", "url", "payload", "captured", "digest", "refers_to")
     archives = marked.mapInArrow(lambda batches: _archives(batches, archive_bytes), "archive binary")
