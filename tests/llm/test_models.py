@@ -154,3 +154,30 @@ def test_words_in_blocks_score_alike(monkeypatch):
     alone = np.concatenate([toxicity.scored(model, texts[i : i + 1]) for i in range(5)])
     monkeypatch.setattr(toxicity, "_BLOCK", 5)
     assert whole == pytest.approx(alone, abs=1e-6) and toxicity.scored(model, texts) == pytest.approx(whole, abs=1e-6)
+
+
+def test_rare_contexts_predict(spark):
+    """Twelve times in two million words, and by three words where two leave it open."""
+    filler = [(0, "x " * 2_000_000)]
+    pairs = [(i, "zig zag") for i in range(1, 13)]
+    longer = [(i, f"{'a' if i % 2 else 'b'} m n {'p' if i % 2 else 'q'}") for i in range(100, 140)]
+    held = [(1000, "zig zag"), (1001, "a m n p"), (1002, "a m n q")]
+    docs = spark.createDataFrame([*filler, *pairs, *longer, *held], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in suffixtree.scores(docs, F.col("doc_id") >= 1000).filter("held_out").collect()}
+    assert got[1000]["score"] > got[1000]["base_score"] + 8
+    assert got[1001]["score"] > got[1002]["score"] + 0.8
+
+
+def test_tables_agree_with_the_arrays(spark, odd, monkeypatch):
+    monkeypatch.setattr(suffixtree, "_SENT", 0.01)
+    training = odd.select(F.coalesce("text", F.lit("")).cast("binary").alias("_text"))
+    counts = training.mapInArrow(suffixtree._word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    total, distinct = counts.agg(F.sum("n"), F.count("*")).first()
+    tree = suffixtree._grow(training, counts, total, distinct, 2, 1 / total, 1 / total, 0.05)
+    expected = []
+    for row in training.collect():
+        for w in suffixtree.words(pa.array([bytes(row["_text"])], pa.binary()), lower=True):
+            word, numbers = suffixtree._contexts(tree, *suffixtree._sequence(w))
+            expected.append(np.log10(suffixtree._predict(tree, word, numbers, tree.root(tree.listed_n[word]))).sum())
+    got = suffixtree.scores(odd, F.lit(False), depth=2, least_count=1).collect()
+    assert sorted(r["score"] for r in got) == pytest.approx(sorted(expected))
