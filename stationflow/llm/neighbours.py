@@ -7,8 +7,13 @@
    are neighbours of a neighbour and are compared there, all against all of a block
    of bounded size; each keeps the best ones it meets. A list is saturated if its
    ``size`` entries are all over the threshold; it doubles until they are not.
-3. Audit: a bounded sample of vectors is compared with all vectors, in blocks. While
-   the links found are fewer than ``recall`` of the true ones, another round follows.
+   Each round also deals buckets of new hyperplanes, and all blocks by another hash.
+3. Audit: of the nodes in enlarged components (see 4), of the others with a link and
+   of those without, a bounded sample each is compared with all vectors, in blocks.
+   Pairs count once, without copies, and only outside enlarged components, which are
+   exact within. Another round follows while the links found are fewer than
+   ``recall`` of the estimate, or the round has added more than the rest of that. If
+   the last round ends so, all vectors are compared with all, in blocks.
 4. Edges at the threshold, in double precision, give components. A saturated list may
    miss links that are no closer than those it has: it is enlarged to its whole
    component, without listing it. Members within half the threshold's angle of the
@@ -19,7 +24,7 @@
 So a third of all rows may be near copies of one vector: that costs a count, not
 its square. A null or zero vector, or one with null or non-finite components, links
 with nothing and is its own component. Vectors link within their length. Rows that
-repeat an id are rows of their own. Nothing but the audit's sample is collected.
+repeat an id are rows of their own. Nothing but the audit's samples is collected.
 """
 
 from __future__ import annotations
@@ -79,20 +84,25 @@ def _linked(nodes: DataFrame, dim: int, threshold: float, size: int, recall: flo
     units = staged(nodes, "nodes-of-a-length")
     count = units.count()
     bits = max(0, math.ceil(math.log2(max(1, count / (BLOCK // 4)))))
-    graph = staged(_best(_first(units, dim, min(bits, 30), size), threshold, size), "graph")
-    for _ in range(MOST_ROUNDS):
-        graph = staged(_best(_met(graph, units).unionByName(graph), threshold, size), "graph")
+    bits = min(bits, 30)
+    graph, before = staged(_best(_first(units, dim, bits, size, 0), threshold, size), "graph"), 0
+    for turn in range(1, MOST_ROUNDS + 1):
+        met = _met(graph, units, turn).unionByName(_first(units, dim, bits, size, turn))
+        graph = staged(_best(met.unionByName(graph), threshold, size), "graph")
         edges = staged(_edges(graph, units, threshold), "edges")
         saturated = graph.filter(F.get("sims", F.lit(size - 1)) >= threshold).select("node")
         result = staged(_counted(edges, units, saturated, dim, threshold), "counted")
-        if _audited(result, units, threshold) >= recall:
-            break
-    return result
+        found, missing = _audited(result, edges, units, threshold, turn)
+        if found >= recall * (found + missing) and (turn > 1 and found - before <= (1 - recall) * found):
+            return result.drop("dense")
+        before = found
+    edges = staged(edges.unionByName(_across(result, units, threshold)).distinct(), "edges")
+    return staged(_counted(edges, units, saturated, dim, threshold), "counted").drop("dense")
 
 
-def _first(units: DataFrame, dim: int, bits: int, size: int) -> DataFrame:
+def _first(units: DataFrame, dim: int, bits: int, size: int, turn: int) -> DataFrame:
     """The best of each block of vectors that share a bucket, for every table of hyperplanes."""
-    planes = np.random.default_rng(5).standard_normal((TABLES, dim, bits))
+    planes = np.random.default_rng(5 + turn).standard_normal((TABLES, dim, bits))
 
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,14 +114,14 @@ def _first(units: DataFrame, dim: int, bits: int, size: int) -> DataFrame:
                 code = ((x @ planes[t] > 0) @ (1 << np.arange(bits))).astype(np.int64) if bits else np.zeros(len(x), np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(code * TABLES + t), batch["node"], small], names=["code", "node", "unit"])
 
-    return _blocks(units.select("node", "unit").mapInArrow(codes, "code long, node long, unit binary"), "code", size)
+    return _blocks(units.select("node", "unit").mapInArrow(codes, "code long, node long, unit binary"), "code", size, turn)
 
 
-def _blocks(rows: DataFrame, key: str, size: int) -> DataFrame:
+def _blocks(rows: DataFrame, key: str, size: int, turn: int = 0) -> DataFrame:
     """(node, ids, sims): the best of the rows that share a key, in blocks of about BLOCK rows."""
     rows = staged(rows, "blocks")
     counts = one_per_key(rows, [key], F.count("*").alias("n")).filter("n > 1")
-    dealt = rows.join(counts, key).withColumn("block", F.pmod(F.xxhash64("node", key), F.ceil(F.col("n") / BLOCK)))
+    dealt = rows.join(counts, key).withColumn("block", F.pmod(F.xxhash64("node", key, F.lit(turn)), F.ceil(F.col("n") / BLOCK)))
 
     def best(keys: tuple, table: pa.Table) -> pa.Table:
         node = table["node"].to_numpy()
@@ -130,7 +140,7 @@ def _blocks(rows: DataFrame, key: str, size: int) -> DataFrame:
 _LISTS = pa.schema([("node", pa.int64()), ("ids", pa.list_(pa.int64())), ("sims", pa.list_(pa.float64()))])
 
 
-def _met(graph: DataFrame, units: DataFrame) -> DataFrame:
+def _met(graph: DataFrame, units: DataFrame, turn: int) -> DataFrame:
     """Neighbours of a common neighbour, compared at it."""
     def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,7 +149,7 @@ def _met(graph: DataFrame, units: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch["target"], batch["node"], pa.array(small, pa.binary())], names=["target", "node", "unit"])
 
     sent = graph.select("node", F.explode("ids").alias("target")).join(units.select("node", "unit"), "node").select("target", "node", "unit")
-    return _blocks(sent.mapInArrow(narrow, "target long, node long, unit binary"), "target", MOST_LIST // 4)
+    return _blocks(sent.mapInArrow(narrow, "target long, node long, unit binary"), "target", MOST_LIST // 4, turn)
 
 
 def _best(lists: DataFrame, threshold: float, size: int) -> DataFrame:
@@ -179,15 +189,16 @@ def _edges(graph: DataFrame, units: DataFrame, threshold: float) -> DataFrame:
 
 
 def _counted(edges: DataFrame, units: DataFrame, saturated: DataFrame, dim: int, threshold: float) -> DataFrame:
-    """(node, more, component) with the components of saturated lists counted whole."""
+    """(node, more, component, dense) with the components of saturated lists, the dense ones, counted whole."""
     found = staged(components(edges), "components")
     dense = one_per_key(found.join(saturated, "node", "left_semi"), ["component"]).withColumn("dense", F.lit(True))
     every = staged(units.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).join(dense, "component", "left"), "members")
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     sparse = every.filter("dense IS NULL")
     listed = both.join(sparse.select(F.col("node").alias("b"), "weight"), "b").groupBy("a").agg(F.sum("weight").alias("more"))
-    sparse = sparse.select("node", "component").join(listed.withColumnRenamed("a", "node"), "node", "left").select("node", F.coalesce("more", F.lit(0)).cast("long").alias("more"), "component")
-    return sparse.unionByName(_whole(every.filter("dense").select("component", "node", "weight", "unit"), dim, threshold))
+    sparse = sparse.select("node", "component").join(listed.withColumnRenamed("a", "node"), "node", "left").select("node", F.coalesce("more", F.lit(0)).cast("long").alias("more"), "component", F.lit(False).alias("dense"))
+    whole = _whole(every.filter("dense").select("component", "node", "weight", "unit"), dim, threshold)
+    return sparse.unionByName(whole.withColumn("dense", F.lit(True)))
 
 
 def _whole(members: DataFrame, dim: int, threshold: float) -> DataFrame:
@@ -241,20 +252,55 @@ def _outer(placed: DataFrame, threshold: float) -> DataFrame:
     return pairs.select("inner", "outer", "all").mapInArrow(compare, "node long, more long")
 
 
-def _audited(result: DataFrame, units: DataFrame, threshold: float) -> float:
-    """Links found over true links, for the AUDIT nodes of lowest hash against all nodes."""
-    sample = units.join(result.select("node", "more"), "node").orderBy(F.xxhash64("node")).limit(AUDIT).select("node", "unit", "more").toArrow()
-    if not sample.num_rows:
-        return 1.0
-    node, queries = sample["node"].to_numpy(), _matrix(sample["unit"])
+def _across(result: DataFrame, units: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): the links outside dense components by comparing all with all, in blocks; one of each node with a dense component."""
+    rows = units.select("node", "unit").join(result.select("node", F.when(F.col("dense"), F.col("component")).alias("whole")), "node")
+    rows = staged(rows, "all-nodes")
+    many = max(1, math.ceil(rows.count() / (4 * BLOCK)))
+    blocks = staged(rows.groupBy(F.pmod(F.xxhash64("node"), F.lit(many)).alias("block")).agg(F.collect_list(F.struct("node", "whole", "unit")).alias("rows")), "all-blocks")
+    pairs = blocks.toDF("block", "x").join(blocks.toDF("other", "y"), F.col("block") <= F.col("other")).select("x", "y")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                node, other = (np.array([x["node"] for x in row[side]]) for side in "xy")
+                x, y = (np.array([np.frombuffer(r["unit"]) for r in row[side]]) for side in "xy")
+                group, groups = (np.array([r["node"] if r["whole"] is None else r["whole"] for r in row[side]]) for side in "xy")
+                i, j = np.nonzero((x @ y.T >= threshold) & (node[:, None] != other) & (group[:, None] != groups))
+                if len(i):
+                    _, one = np.unique(np.stack([group[i], groups[j]]), axis=1, return_index=True)
+                    a, b = node[i[one]], other[j[one]]
+                    yield pa.RecordBatch.from_pydict({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+
+    return pairs.mapInArrow(compare, "a long, b long")
+
+
+def _audited(result: DataFrame, edges: DataFrame, units: DataFrame, threshold: float, turn: int) -> tuple[int, float]:
+    """Links found outside dense components and an estimate of those missing, each from both ends."""
+    ends = edges.select("a").unionByName(edges.select(F.col("b").alias("a")))
+    degree = ends.groupBy(F.col("a").alias("node")).agg(F.count("*").alias("found"))
+    rows = result.select("node", "component", "dense").join(degree, "node", "left")
+    rows = rows.select("node", "component", F.when(F.col("dense"), 0).otherwise(F.coalesce("found", F.lit(0))).alias("found"), F.when(F.col("dense"), 0).when(F.col("found") > 0, 1).otherwise(2).alias("kind"))
+    rows = staged(rows, "audit")
+    sizes = {r["kind"]: (r["n"], r["found"]) for r in rows.groupBy("kind").agg(F.count("*").alias("n"), F.sum("found").alias("found")).collect()}
+    samples = [rows.filter(F.col("kind") == kind).orderBy(F.xxhash64("node", F.lit(turn))).limit(AUDIT) for kind in sizes]
+    if not samples:
+        return 0, 0.0
+    sample = reduce(DataFrame.unionByName, samples).join(units.select("node", "unit"), "node").toArrow()
+    node, queries, kinds = sample["node"].to_numpy(), _matrix(sample["unit"]), sample["kind"].to_numpy()
+    whole = np.where(kinds == 0, sample["component"].to_numpy(), 0)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(node), np.int64)
         for batch in batches:
             if batch.num_rows:
                 linked = (queries @ _matrix(batch["unit"]).T >= threshold) & (node[:, None] != batch["node"].to_numpy())
-                total += linked @ batch["weight"].to_numpy()
-        yield pa.RecordBatch.from_pydict({"n": [int(total.sum())]})
-
-    true = units.select("node", "unit", "weight").mapInArrow(compare, "n long").agg(F.sum("n")).first()[0]
-    return float(sample["more"].to_numpy().sum()) / true if true else 1.0
+                linked &= (kinds[:, None] != 0) | (whole[:, None] != batch["component"].to_numpy())
+                total += linked.sum(1)
+        yield pa.RecordBatch.from_pydict({"node": node, "n": total})
+
+    true = units.select("node", "unit").join(result.select("node", "component"), "node").mapInArrow(compare, "node long, n long").groupBy("node").agg(F.sum("n").alias("n")).toArrow()
+    true = dict(zip(true["node"].to_pylist(), true["n"].to_pylist(), strict=True))
+    missed = np.array([true[x] for x in node.tolist()]) - sample["found"].to_numpy()
+    missing = sum(max(0, missed[kinds == kind].sum()) * n / (kinds == kind).sum() for kind, (n, _) in sizes.items())
+    return sum(found for _, found in sizes.values()), float(missing)

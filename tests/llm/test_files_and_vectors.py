@@ -222,3 +222,28 @@ def test_blocks_are_bounded(spark, monkeypatch):
     rows = [(i, (u / np.linalg.norm(u)).astype(np.float32).tobytes()) for i, u in enumerate(units)]
     lists = neighbours._blocks(spark.createDataFrame(rows, "node long, unit binary").withColumn("key", F.lit(1)), "key", 5).collect()
     assert {r["node"] for r in lists} == set(range(200)) and all(len(r["ids"]) == 5 for r in lists)
+
+
+def test_links_beside_a_frequent_vector(spark, monkeypatch):
+    """The rounds find no pair; many links in one dense group must not hide that."""
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=16)
+    out = [base + rng.normal(0, 0.02, 16) for _ in range(300)]
+    for _ in range(15):
+        x = rng.normal(size=16)
+        out += [x, x + rng.normal(0, 0.02, 16)]
+    real = neighbours._edges
+
+    def edges(*args):
+        found = real(*args)
+        often = found.select("a").unionByName(found.select(F.col("b").alias("a"))).groupBy("a").count().filter("count > 3").select("a")
+        return found.join(often, "a", "left_semi")
+
+    monkeypatch.setattr(neighbours, "_edges", edges)
+    monkeypatch.setattr(neighbours, "MOST_ROUNDS", 1)
+    docs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(out)], "vec_id long, embedding array<double>")
+    x = np.array(out) / np.linalg.norm(out, axis=1)[:, None]
+    near = x @ x.T >= 0.95
+    np.fill_diagonal(near, False)
+    got = {r["vec_id"]: r["n_links"] for r in neighbours.near_links(docs).collect()}
+    assert [got[i] for i in range(len(out))] == near.sum(1).tolist()
