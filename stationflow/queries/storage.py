@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stationflow.functions.text import id_from_file_name
-from stationflow.operators.documents import ordered_text
+from stationflow.operators.documents import text_digests
 from stationflow.operators.series import canonical
 from stationflow.operators.tables import stack
 from stationflow.queries import query, table
@@ -88,14 +88,10 @@ def snapshot_counts(spark, folder):
     written = snapshot(list(_TABLES), lambda name: table(spark, folder, name), work_dir(spark, "snapshot"), exclude=_APART)
     parts = []
     for name, path in written.items():
-        value = F.col(_TABLES[name]).cast("long").alias("value")
-        stored = spark.read.parquet(path).select(F.lit(name).alias("table_name"), value)
-        text = ordered_text(
-            stored, ["table_name"], ["value"], F.col("value").cast("string"), name="_values", sep=",",
-            extra={"rows": F.count("*"), "total": F.sum("value")},
-        )
-        parts.append(text.select("table_name", "rows", "total", F.md5("_values").alias("digest")))
-    return stack(*parts)
+        parts.append(spark.read.parquet(path).select(F.lit(name).alias("table_name"), F.col(_TABLES[name]).cast("long").alias("value")))
+    stored = stack(*parts)
+    totals = stored.groupBy("table_name").agg(F.count("*").alias("rows"), F.sum("value").alias("total"))
+    return totals.join(text_digests(stored, "table_name", "value"), "table_name", "left")
 
 
 @query("""
