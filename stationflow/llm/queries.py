@@ -1,11 +1,11 @@
-"""The ten operators on their tables: queries and, where it can say it, SQL."""
+"""The thirteen operators on their tables: queries and, where it can say it, SQL."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stationflow.llm import boilerplate, importance, jaccard, neighbours, packing, substrings, suffixtree, tiling, toxicity, warc
+from stationflow.llm import boilerplate, importance, jaccard, negatives, neighbours, packing, substrings, suffixtree, tiling, toxicity, urlrules, warc, whitening
 from stationflow.llm.staging import new_folder
 
 
@@ -63,5 +63,28 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"), held_out)
 
 
-QUERIES = {f.__name__: f for f in (op1_importance_resampling, op2_decontamination, op3_substring_dedup, op4_jaccard_join, op5_line_dedup, op6_warc_index, op7_packing, op8_embedding_links, op9_suffix_tree, op10_toxicity)}
-SQL = {"op5_line_dedup": boilerplate.boilerplate_sql("documents")}
+#: Given rules, host and path, and what they say.
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+def op11_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """A page whose document is labelled of low quality or toxic is one to block."""
+    pages = table(spark, folder, "pages")
+    bad = (F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False)))
+    labels = table(spark, folder, "labels").filter("quality IS NOT NULL OR toxic IS NOT NULL")
+    mined = urlrules.mine(pages, labels, "page_id", "url", "doc_id", bad)
+    return urlrules.judge(pages, mined, "page_id", "url", URL_RULES)
+
+
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    dealt = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, folder, "embeddings").withColumn("label", dealt)
+    return negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_importance_resampling, op2_decontamination, op3_substring_dedup, op4_jaccard_join, op5_line_dedup, op6_warc_index, op7_packing, op8_embedding_links, op9_suffix_tree, op10_toxicity, op11_url_rules, op12_embedding_whitening, op13_hard_negatives)}
+SQL = {"op5_line_dedup": boilerplate.boilerplate_sql("documents"), "op13_hard_negatives": negatives.negatives_sql("embeddings")}
