@@ -77,12 +77,9 @@ def parsed_records(lines: DataFrame, line: str = "line") -> DataFrame:
 def series_texts(lines: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """``(id, part, content)``: all lines of a series in time order, each ended by CR LF.
 
-    A series longer than ``part_bytes`` continues in further parts; its months are sorted apart.
+    A series longer than ``part_bytes`` continues in further parts.
     """
-    return ordered_parts(
-        lines, ["id"], ["ts"], F.concat(F.col("line"), F.lit("\r\n")), sep="",
-        stretch=F.date_trunc("month", "ts"), part_bytes=part_bytes,
-    )
+    return ordered_parts(lines, ["id"], ["ts"], F.concat(F.col("line"), F.lit("\r\n")), sep="", part_bytes=part_bytes)
 
 
 def shifted_series(
@@ -111,7 +108,7 @@ def phases(series: DataFrame, chunks: DataFrame, steps: Mapping[int, int] = valu
         F.col("time_step_id").isin(*steps) & F.col("nominal_offset_minutes").isNotNull()
     ).select(F.col("id").alias("_series"), decode("time_step_id", steps).alias("_step"))
     stamps = (
-        members(chunks, "id", strict, "_series").select(F.col("id"), first_stamp("bottom").alias("_stamp"))
+        members(chunks.select("id", first_stamp("bottom").alias("_stamp")), "id", strict, "_series")
         .where(F.col("_stamp") != "")
         .groupBy("id")
         .agg(F.min("_stamp").alias("_stamp"))

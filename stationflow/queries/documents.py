@@ -11,6 +11,7 @@ from stationflow.operators.documents import (
     ordered_text,
     segments_with_points,
     stage_discharge_documents,
+    stage_discharge_parts,
     write_documents,
 )
 from stationflow.queries import query, table
@@ -65,10 +66,9 @@ _PARTS_SQL = """
 
 @query(_PARTS_SQL)
 def document_parts(spark, folder):
-    # Short parts, and stretches of users that are sorted apart.
+    # Short parts.
     return ordered_parts(
-        table(spark, folder, "events"), ["event_type"], ["user_id", "event_id"], F.col("event_id").cast("string"),
-        stretch=F.floor(F.col("user_id") / 10), part_bytes=500,
+        table(spark, folder, "events"), ["event_type"], ["user_id", "event_id"], F.col("event_id").cast("string"), part_bytes=500,
     )
 
 
@@ -115,6 +115,46 @@ def nine_decimals(spark, folder):
     FROM customer LEFT JOIN body ON body.id = c_custkey
 """)
 def nested_document(spark, folder):
+    return stage_discharge_documents(*_curves(spark, folder))
+
+
+_SEGMENT_HEAD_SQL = """'StartDate=' || strftime(start_date, '%Y-%m-%d %H:%M') || chr(10)
+                   || 'EndDate=' || strftime(end_date, '%Y-%m-%d %H:%M') || chr(10)
+                   || 'StartMonth=1' || chr(10) || 'EndMonth=12' || chr(10)
+                   || 'Extension=' || CASE WHEN ext THEN 'True' ELSE 'False' END || chr(10)
+                   || 'Logarithmic=' || CASE WHEN log THEN 'True' ELSE 'False' END || chr(10)
+                   || 'Offset=' || printf('%f', coffset) || chr(10)
+                   || 'PointsCount=' || CAST(coalesce(n, 0) AS VARCHAR) || chr(10) || chr(10)"""
+
+
+@query(f"""
+    WITH seg AS (
+        SELECT o_custkey AS id, o_orderkey AS num, o_orderstatus = 'F' AS log, o_orderpriority = '1-URGENT' AS ext,
+               o_totalprice AS coffset, CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS start_date,
+               CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderdate END AS end_date, n
+        FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey),
+    dated AS (SELECT * FROM seg WHERE start_date IS NOT NULL AND end_date IS NOT NULL),
+    lines AS (
+        SELECT c_custkey AS id, 0 AS head, NULL AS num, 0 AS kind, NULL AS h,
+               'Delimiter=","' || chr(10) || 'DecimalSeparator="."' || chr(10) || 'DateFormat="yyyy-mm-dd hh:nn"' || chr(10)
+               || 'Count=' || CAST(coalesce(cnt, 0) AS VARCHAR) || chr(10) || chr(10) AS line
+        FROM customer LEFT JOIN (SELECT id, count(n) AS cnt FROM seg GROUP BY id) AS c ON c.id = c_custkey
+        UNION ALL SELECT id, 1, num, 1, NULL, {_SEGMENT_HEAD_SQL} FROM dated
+        UNION ALL SELECT id, 1, num, 2, l_quantity, printf('%f,%f', l_quantity, l_extendedprice) || chr(10)
+        FROM dated JOIN lineitem ON l_orderkey = num
+        UNION ALL SELECT id, 1, num, 3, NULL, chr(10) FROM dated),
+    placed AS (
+        SELECT *, row_number() OVER every AS place, sum(strlen(line)) OVER every - strlen(line) AS before
+        FROM lines WINDOW every AS (PARTITION BY id ORDER BY head, num, kind, h, line ROWS UNBOUNDED PRECEDING))
+    SELECT id, CAST(before // 700 + 1 AS BIGINT) AS part, string_agg(line, '' ORDER BY place) AS content
+    FROM placed WHERE id IN (SELECT c_custkey FROM customer) GROUP BY ALL
+""")
+def nested_parts(spark, folder):
+    """The same documents in parts of 700 bytes."""
+    return stage_discharge_parts(*_curves(spark, folder), part_bytes=700)
+
+
+def _curves(spark, folder):
     curves = table(spark, folder, "customer").select(F.col("c_custkey").alias("id"))
     orders = table(spark, folder, "orders")
     segments = orders.select(
@@ -128,7 +168,7 @@ def nested_document(spark, folder):
         F.col("o_custkey").alias("id"), F.col("l_orderkey").alias("curve_num"),
         F.col("l_quantity").alias("h"), F.col("l_extendedprice").alias("q"),
     )
-    return stage_discharge_documents(curves, segments, points)
+    return curves, segments, points
 
 
 @query("""

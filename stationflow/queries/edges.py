@@ -115,7 +115,7 @@ def dump_of_two(spark, folder):
     path = work_dir(spark, "dump")
     for name, rows in tables.items():
         lines = copy_lines(rows).withColumn("name", F.lit(name))
-        blocks = ordered_parts(lines, ["name"], ["value"], F.col("value"), part_bytes=1 << 20)
+        blocks = ordered_parts(lines, ["name"], ["value"], F.col("value"), part_bytes=1 << 18)
         header = f"COPY {name} ({', '.join(rows.columns)}) FROM stdin;\n"
         blocks.select(F.concat(F.lit(header), "content", F.lit("\n\\."))).write.mode("append").option("lineSep", "\n").text(path)
     read = read_copy_dump(spark, path, {"documents": "doc_id bigint, text string", "labels": "doc_id bigint, quality int"})

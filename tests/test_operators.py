@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stationflow.operators.documents import ordered_parts, ordered_text
 from stationflow.operators.ids import assign_ids, next_ids
 from stationflow.operators.joins import match_time_steps, members, not_in
+from stationflow.operators.skew import one_per_key
 from stationflow.operators.tables import append
 from stationflow.operators.updates import get_or_create, new, update_from
 from stationflow.plans.national import unit_variables
@@ -59,6 +60,10 @@ def test_frequent_keys_are_split(spark, no_broadcast):
         plan = final_plan(joined)
         assert "skew=true" in plan, plan
         assert "NestedLoop" not in plan
+    # The unique side comes partitioned by the key of the join.
+    lists = right.groupBy("key", "x").agg(F.count("*").alias("n")).repartition("key")
+    joined = left.join(one_per_key(lists, ["key"], F.collect_list("x").alias("xs")), F.col("k") == F.col("key"), "left")
+    assert "skew=true" in final_plan(joined)
     assert members(left, "k", right, "key").count() == sum(1 for i in range(60_000) if i % 3 == 0 or i < 1000)
 
 
@@ -109,7 +114,7 @@ def test_large_documents(spark):
 
 @pytest.mark.parametrize("part_bytes", [1, 100, 5000, 1 << 26])
 def test_document_parts(spark, no_broadcast, part_bytes):
-    """A part follows from the bytes before a line, not from partitions or stretches."""
+    """A part follows from the bytes before a line, not from partitions."""
     df = hot(spark, 3000).unionByName(spark.createDataFrame([(7, "copy")] * 25 + [(None, "null key"), (7, None)], "k bigint, v string"))
     expected = {}
     for k, lines in documents_of(df.where("k IS NOT NULL AND v IS NOT NULL")).items():
@@ -119,10 +124,10 @@ def test_document_parts(spark, no_broadcast, part_bytes):
             before += len(line) + 1
     expected[None, 1] = ["null key"]
     expected = {k: "\n".join(v) for k, v in expected.items()}
-    for partitions, stretch in (("2", None), ("64", None), ("5", F.left("v", F.lit(2)))):
+    for partitions in ("2", "64"):
         size = spark.conf.get("spark.sql.shuffle.partitions")
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
-        parts = ordered_parts(df, ["k"], ["v"], F.col("v"), stretch=stretch, part_bytes=part_bytes).collect()
+        parts = ordered_parts(df, ["k"], ["v"], F.col("v"), part_bytes=part_bytes).collect()
         spark.conf.set("spark.sql.shuffle.partitions", size)
         assert {(r["k"], r["part"]): r["content"] for r in parts} == expected
 
@@ -130,7 +135,7 @@ def test_document_parts(spark, no_broadcast, part_bytes):
 def test_null_order_is_last(spark):
     df = spark.createDataFrame([(1, None, "last"), (1, 2, "b"), (1, 1, "a")], "k int, o int, v string")
     assert rows(ordered_text(df, ["k"], ["o"], F.col("v"), sep=",")) == [(1, "a,b,last")]
-    assert rows(ordered_parts(df, ["k"], ["o"], F.col("v"), sep=",", stretch=F.col("o"))) == [(1, 1, "a,b,last")]
+    assert rows(ordered_parts(df, ["k"], ["o"], F.col("v"), sep=",")) == [(1, 1, "a,b,last")]
 
 
 def test_series_files(spark, tmp_path):
