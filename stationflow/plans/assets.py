@@ -12,7 +12,6 @@ from stationflow.functions import values
 from stationflow.functions.keys import or_default
 from stationflow.functions.text import drawing_path
 from stationflow.operators.documents import curve_documents, write_documents
-from stationflow.operators.ids import assign_ids, next_id
 from stationflow.operators.joins import carry_records, link_assets
 from stationflow.operators.tables import copy_lookup, literal_table, project, with_old_id
 from stationflow.operators.updates import (
@@ -192,14 +191,12 @@ def add_missing_boreholes(target: Target, boreholes: DataFrame) -> None:
     """Registry, borehole, point and entity rows for boreholes that have none yet."""
     known = target["gisentity"].where(F.col("gtype_id") == 1)
     unknown = missing_keys(boreholes, "id", known, "gis_id")
-    registered = assign_ids(unknown, ["gis_id"], next_id(target["gisentity"]), unique=True)
+    registered = target.number("gisentity", unknown, ["gis_id"], unique=True)
     target.add("gisentity", project(registered, {"id": "id", "gtype_id": 1, "gis_id": "gis_id"}))
 
     registry = target["gisentity"].where(F.col("gtype_id") == 1)
     bare = missing_keys(registry, "id", target["gisborehole"], "gisentity_ptr_id")
-    new_boreholes = assign_ids(
-        bare, ["gisentity_ptr_id"], next_id(target["gentity"]), name="gisboreholespring_ptr_id", unique=True
-    )
+    new_boreholes = target.number("gentity", bare, ["gisentity_ptr_id"], key="gisboreholespring_ptr_id", unique=True)
     target.add("gisborehole", project(new_boreholes, {
         "gisboreholespring_ptr_id": "gisboreholespring_ptr_id", "gisentity_ptr_id": "gisentity_ptr_id",
         "group": F.lit(""), "has_pmeter": False,

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.functions import values
@@ -24,6 +24,7 @@ from stationflow.operators.quality import fk_report
 from stationflow.operators.skew import one_per_key
 from stationflow.operators.tables import append, project, stack
 from stationflow.operators.updates import new
+from stationflow.sinks.store import Load, Store
 
 # The references between target tables as (table, column, table, column).
 REFERENCES = (
@@ -66,9 +67,14 @@ DETAILS = ("prefecture", "location", "location_en", "municipality", "municipalit
 
 
 class Target:
-    """The target tables while a plan adds to them."""
+    """The target tables while a plan adds to them.
+
+    ``existing`` may be a load of a store: then new ids come from its sequences, and
+    no table is searched for its greatest id.
+    """
 
     def __init__(self, existing: Source | None = None):
+        self.load = existing if isinstance(existing, Load) else None
         self.tables: Tables = dict(existing or {})
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -89,8 +95,9 @@ class Target:
         """
         table = self.tables.get(name)
         if serial is not None:
-            start = 1 if table is None else next_id(table)
-            rows = assign_ids(rows, serial, start, unique=unique).drop(*helpers)
+            rows = self.number(name, rows, serial, unique=unique).drop(*helpers)
+        elif self.load is not None and "id" in rows.columns:
+            self.load.observe(name, rows)
         if table is not None:
             # Later inserts may name columns that earlier ones left to their default.
             types = dict(rows.dtypes)
@@ -99,11 +106,32 @@ class Target:
         self.tables[name] = append(table, rows)
         return rows
 
+    def number(self, name: str, rows: DataFrame, order: Sequence[str], key: str = "id", unique: bool = False) -> DataFrame:
+        """The rows with the next ids of a table, in the given order."""
+        if self.load is not None:
+            return self.load.number(name, rows, order, key, unique)
+        start = next_id(self.tables[name]) if name in self.tables else 1
+        return assign_ids(rows, order, start, key, unique)
+
     def next_ids(self, names: Iterable[str]) -> DataFrame:
         """The next id of each table that has ids."""
         return next_ids({n: self.tables[n] for n in names if n in self.tables and "id" in self.tables[n].columns})
 
 
+def run_into(spark: SparkSession, folder: str, plan: Callable[[Load], Tables], dry_run: bool = False) -> dict[str, int]:
+    """Run a plan on a store's tables and make all that it gives the store's state, at once.
+
+    ``plan`` takes the load in place of the existing tables. A reference without a row
+    discards the load and is an error; a dry run discards it in any case and returns
+    the violations by reference.
+    """
+    with Store(spark, folder).begin() as load:
+        for name, table in plan(load).items():
+            if name not in load or not table.sameSemantics(load[name]):
+                load.put(name, table)
+        return load.commit(violations, dry_run)
+
+
 def violations(tables: Source) -> DataFrame:
     """``(reference, violations)`` for every reference between tables that a plan has made."""
     checks = [

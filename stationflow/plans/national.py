@@ -168,7 +168,7 @@ def add_people(stations: DataFrame, target: Target, one_per_name: bool = True) -
     named = observed.select("stationid", word("observer", 1).alias("last_name"), word("observer", 2).alias("first_name"))
     if one_per_name:
         named = named.groupBy("last_name", "first_name").agg(F.min("stationid").alias("stationid"))
-    people = assign_ids(named, ["stationid"], next_id(target["lentity"]), name="lentity_ptr_id", unique=True)
+    people = target.number("lentity", named, ["stationid"], key="lentity_ptr_id", unique=True)
     texts = ("middle_names", "initials", "last_name_alt", "first_name_alt", "middle_names_alt", "initials_alt")
     person = project(people, {
         "lentity_ptr_id": "lentity_ptr_id", "last_name": "last_name", "first_name": "first_name",

@@ -103,10 +103,10 @@ def snapshot_counts(spark, folder):
 def replace_series(spark, folder):
     events = table(spark, folder, "events")
     path = work_dir(spark, "stored-series")
-    write_series(canonical(events, "user_id", "ts", F.col("value"), F.lit("first")), path, buckets=16)
+    write_series(canonical(events, "user_id", "ts", F.col("value"), F.lit("first")), path, bucket_rows=500)
     errors = events.where(F.col("event_type") == "error")
-    # The store keeps its own number of buckets.
-    write_series(canonical(errors, "user_id", "ts", F.lit(-1.0), F.lit("replaced")), path, buckets=7)
+    # The store keeps its own size of buckets.
+    write_series(canonical(errors, "user_id", "ts", F.lit(-1.0), F.lit("replaced")), path, bucket_rows=7)
     return read_series(spark, path).select(
         F.col("id").cast("long").alias("id"),
         F.date_trunc("second", "ts").cast("timestamp_ntz").cast("string").alias("ts"), "value", "flags",

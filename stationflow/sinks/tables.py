@@ -4,115 +4,49 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from stationflow.operators.skew import one_per_key
+from stationflow.sinks.store import BUCKET_ROWS, Store
 
-# Records that one folder of a new series store holds at most, if ids are spread evenly.
-BUCKET_ROWS = 20_000_000
-_LAYOUT = "_layout"
+_RECORDS = "records"
 
 
-def _bucket(buckets: int) -> Column:
-    key = F.when(F.col("id").isNull(), F.raise_error(F.lit("a record without series id")).cast("long"))
-    return F.pmod(F.xxhash64(key.otherwise(F.col("id").cast("long"))), F.lit(buckets)).cast("int")
+def write_series(records: DataFrame, path: str, bucket_rows: int = BUCKET_ROWS) -> None:
+    """Replace the stored records of the series that occur in ``records``, all at once.
 
-
-def _layout(spark: SparkSession, path: str) -> int | None:
-    """The number of buckets that a store was made with; None if there is no store."""
-    try:
-        return spark.read.schema("buckets int").json(f"{path.rstrip('/')}/{_LAYOUT}").first()["buckets"]
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+    The store is a table kept by ``id`` (see ``sinks.store``): its buckets grow in number
+    with the records, and only those of the replaced series are read and written again.
+    The records may come from the store itself. A long series spans several tasks and
+    files. A record without id is an error. ``bucket_rows`` counts for a new store.
+    """
+    with Store(records.sparkSession, path).begin() as load:
+        load.replace(_RECORDS, "id", records, bucket_rows)
+        load.commit()
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:  # no folder, or only the layout of a store whose first write failed
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return None
+def read_series(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored records; None if there is no store."""
+    return Store(spark, path).table(_RECORDS)
 
 
-def write_series(records: DataFrame, path: str, buckets: int | None = None) -> None:
-    """Replace the stored records of the series that occur in ``records``.
+def store_tables(tables: Mapping[str, DataFrame], out: str, prefix: str = "", keep: int = 2) -> None:
+    """Store a plan's tables below ``out`` under their prefixed names, all at once.
 
-    The store is parquet in one folder per hash bucket of the id, so the number
-    of files does not follow the number of series. The number of buckets is kept
-    with the store: a new one takes ``buckets``, or as many as hold BUCKET_ROWS
-    records each; later writes follow it whatever they ask for. Only the buckets
-    of the replaced series are read and written again; their other series are
-    copied. The overwrite is staged, so the records may come from the store
-    itself. A long series spans several tasks and files. A record without id is
-    an error.
+    A plan's tables hold the rows there were and the new ones, so each replaces the one
+    before; it may be computed from that one. A failed run leaves everything in place.
+    ``keep`` states stay. For checks, a dry run and ids see ``Store.begin``.
     """
-    spark = records.sparkSession
-    known = _layout(spark, path)
-    if known is None:
-        known = buckets or records.count() // BUCKET_ROWS + 1
-        layout = spark.createDataFrame([(known,)], "buckets int")
-        layout.coalesce(1).write.mode("overwrite").json(f"{path.rstrip('/')}/{_LAYOUT}")
-    stored = _stored(spark, path)
-    rows = records.withColumn("bucket", _bucket(known))
-    if stored is not None:
-        replaced = one_per_key(rows.select(F.col("id").alias("_replaced")), ["_replaced"])
-        touched = [r["bucket"] for r in rows.select("bucket").distinct().collect()]
-        kept = stored.where(F.col("bucket").isin(touched)).join(
-            replaced, F.col("id") == F.col("_replaced"), "left_anti"
-        )
-        rows = rows.unionByName(kept.select(*rows.columns))
-    sort = ["bucket", "id", "ts", *[c for c in rows.columns if c not in ("bucket", "id", "ts")]]
-    out = rows.repartitionByRange(*sort).sortWithinPartitions(*sort)
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
-
-
-def read_series(spark: SparkSession, path: str) -> DataFrame:
-    """The stored records."""
-    return spark.read.parquet(path).drop("bucket")
-
-
-def _versions(spark: SparkSession, folder: str) -> list[int]:
-    """The complete versions of a table, oldest first."""
-    jvm = spark._jvm
-    top = jvm.org.apache.hadoop.fs.Path(folder)
-    files = top.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(top):
-        return []
-    names = [s.getPath().getName() for s in files.listStatus(top) if s.isDirectory()]
-    found = [int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit()]
-    return sorted(v for v in found if files.exists(jvm.org.apache.hadoop.fs.Path(f"{folder}/v{v}/_SUCCESS")))
-
-
-def store_tables(tables: Mapping[str, DataFrame], out: str, prefix: str = "", keep: int = 2) -> dict[str, str]:
-    """Store a plan's tables below ``out``, each as the next version under its prefixed name.
-
-    A plan's tables hold the rows there were and the new ones, so a version
-    replaces the one before; it may be computed from that one. A version counts
-    once it is complete: a failed run leaves the current one in place and the
-    next run writes over what was left. ``keep`` versions stay.
-    """
-    stored = {}
-    for name, table in tables.items():
-        spark, folder = table.sparkSession, f"{out.rstrip('/')}/{prefix}{name}"
-        versions = _versions(spark, folder)
-        stored[name] = f"{folder}/v{versions[-1] + 1 if versions else 1}"
-        table.write.mode("overwrite").parquet(stored[name])
-        for old in versions[: max(0, len(versions) + 1 - keep)]:
-            path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/v{old}")
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    return stored
+    if not tables:
+        return
+    with Store(next(iter(tables.values())).sparkSession, out).begin() as load:
+        for name, rows in tables.items():
+            load.put(f"{prefix}{name}", rows)
+        load.commit(keep=keep)
 
 
 def stored_table(spark: SparkSession, out: str, name: str, prefix: str = "") -> DataFrame | None:
-    """The current version of a stored table; None if there is none."""
-    folder = f"{out.rstrip('/')}/{prefix}{name}"
-    versions = _versions(spark, folder)
-    return spark.read.parquet(f"{folder}/v{versions[-1]}") if versions else None
+    """The current state of a stored table; None if there is none."""
+    return Store(spark, out).table(f"{prefix}{name}")
 
 
 def write_tables(tables: Mapping[str, DataFrame], out: str, prefix: str = "", mode: str = "append") -> dict[str, str]:

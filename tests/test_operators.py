@@ -186,14 +186,14 @@ def test_series_store(spark, tmp_path):
     path = str(tmp_path / "store")
     t = dt.datetime(2000, 1, 1)
     first = spark.createDataFrame([(i, t, float(i), "") for i in range(200)], "id int, ts timestamp_ntz, value double, flags string")
-    write_series(first, path, buckets=8)
-    for other in (8, 3, None):
+    write_series(first, path, bucket_rows=30)
+    for other in (30, 3, 1000):
         changed = read_series(spark, path).where("id in (3, 4)").withColumn("value", F.lit(-1.0))
-        write_series(changed, path, buckets=other)
+        write_series(changed, path, bucket_rows=other)
         stored = read_series(spark, path)
         assert stored.count() == 200
         assert rows(stored.where("value < 0"), "id") == [(3,), (4,)]
-    with pytest.raises(Exception, match="without series id"):
+    with pytest.raises(Exception, match="without id"):
         write_series(first.withColumn("id", F.lit(None).cast("int")), path)
 
 
