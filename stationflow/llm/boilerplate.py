@@ -5,10 +5,11 @@ Lines above the ratio are boilerplate of that host and go from all its pages.
 
 DataFrame functions only. Lines are counted by two 64-bit hashes, once a page and
 combined before the shuffle. A host has at most (mean lines of a page / ratio)
-boilerplate lines, so their list is one small row a host; pages take it by a join
-on the host and are cut in place, without a second shuffle of lines. The join's
-unique side leaves adaptive execution free to split a host with a third of all
-pages. A line needs ``min_pages`` pages, so that a host with one page keeps it.
+boilerplate lines, so their list is one small row a host. The lists are written and
+joined to the pages by host: below Spark's threshold they are sent to the pages, which
+stay where they are; beyond it pages are shuffled by host, and as both sides come from
+files, adaptive execution is free to split a host with a third of all pages. Lines are
+not shuffled again. A line needs ``min_pages`` pages, so that a host with one page keeps it.
 
 A line is what stands between line feeds, compared as it is; empty lines are
 never boilerplate. A null text or host: the row stays as it is. An empty table
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from stationflow.llm.staging import staged
 from stationflow.operators.skew import one_per_key
 
 #: Share of a host's pages beyond which a line is boilerplate, and pages it needs at least.
@@ -38,7 +40,8 @@ def drop_boilerplate(pages: DataFrame, text_col: str = "text", host: Column | No
     totals = one_per_key(seen.filter("_host IS NOT NULL"), ["_host"], F.count("*").alias("_pages"))
     counts = seen.filter("_host IS NOT NULL").select("_host", F.explode("_lines").alias("_line")).groupBy("_host", "_line").agg(F.count("*").alias("_n")).filter(F.col("_n") >= min_pages)
     common = counts.join(totals, "_host").filter(F.col("_n") > F.lit(ratio) * F.col("_pages"))
-    lists = one_per_key(common, ["_host"], F.collect_list("_line").alias("_common"))
+    # Written, so that the join is planned on their true size: small lists go to the pages, which then aren't shuffled.
+    lists = staged(common.groupBy("_host").agg(F.collect_list("_line").alias("_common")), "boilerplate")
     joined = pages.withColumn("_host", host).join(lists, "_host", "left")
     kept = F.filter(lines, lambda x: (x == "") | ~F.array_contains(F.col("_common"), _hash(x)))
     joined = joined.withColumn("_kept", F.when(F.col("_common").isNull(), lines).otherwise(kept))
