@@ -40,24 +40,21 @@ def assign_ids(
 ) -> DataFrame:
     """Number the rows ``start, start+1, …`` in the given order, without gaps.
 
-    Rows are sorted into ranges over all tasks and numbered inside each range;
-    one row per range turns that into one sequence. Ties follow the other
-    columns, by two hashes, so the sort keys and the sampled bounds hold no
-    payload; equal rows follow their place in a written copy, so that copies of
-    one row spread over ranges too. ``unique`` says the order columns identify a
-    row, which saves that copy. The sorted rows are written, because ranges are
-    drawn from a sample and must be the same wherever they are read.
+    Only keys are sorted: the order columns, two hashes of the others for ties, and the
+    place of the row in its file, so that copies of one row spread over tasks too.
+    ``unique`` says the order columns identify a row and saves the hashes. The sorted
+    places are written, because ranges are drawn from a sample and must be the same
+    wherever they are read; a row per range turns them into one sequence, and the rows
+    take their numbers by file and place. Rows that come straight from files are left
+    there; others are written once first.
     """
-    sort = [F.col(c).asc_nulls_last() for c in order]
-    rows = df
-    if not unique:
-        rest = [c for c in df.columns if c not in order]
-        rows = written(df, "unnumbered").select(
-            "*", F.xxhash64(F.lit(0), *rest).alias("_tie"), F.xxhash64(F.lit(1), *rest).alias("_tie2"),
-            F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"),
-        )
-        sort += [F.col(c) for c in ("_tie", "_tie2", "_file", "_row")]
-    ranged = rows.repartitionByRange(*sort).sortWithinPartitions(*sort).select(*df.columns)
+    rows = df if _of_files(df) else written(df, "unnumbered")
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    rest = [c for c in df.columns if c not in order]
+    ties = [] if unique or not rest else [F.xxhash64(F.lit(seed), *rest).alias(f"_tie{seed}") for seed in (0, 1)]
+    keys = rows.select(*[F.col(c).alias(f"_order_{i}") for i, c in enumerate(order)], *ties, *place)
+    sort = [F.col(c).asc_nulls_last() for c in keys.columns]
+    ranged = keys.repartitionByRange(*sort).sortWithinPartitions(*sort).select("_file", "_row")
     placed = written(ranged.withColumn("_place", F.monotonically_increasing_id()), "numbered")
     task = F.shiftright("_place", _ROW_BITS)
     row = F.col("_place").bitwiseAND((1 << _ROW_BITS) - 1)
@@ -67,4 +64,13 @@ def assign_ids(
     offsets = F.broadcast(sizes.select("_task", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")))
     first = F.lit(start) if isinstance(start, int) else start
     numbered = placed.withColumn("_task", task).join(offsets, "_task")
-    return numbered.select(*df.columns, (first + F.col("_offset") + row).cast("long").alias(name))
+    numbers = numbered.select("_file", "_row", (first + F.col("_offset") + row).cast("long").alias(name))
+    return rows.select(*df.columns, *place).join(numbers, ["_file", "_row"]).select(*df.columns, name)
+
+
+def _of_files(df: DataFrame) -> bool:
+    """Whether each row is one row of a file, chosen and projected but not joined or multiplied."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.child()
+    return node.nodeName() == "LogicalRelation" and "HadoopFsRelation" in node.relation().getClass().getName()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stationflow.functions.keys import or_default
+from stationflow.session import work_dir
 
 
 def project(df: DataFrame, mapping: Mapping[str, Column | str | int | bool | None]) -> DataFrame:
@@ -17,19 +18,59 @@ def project(df: DataFrame, mapping: Mapping[str, Column | str | int | bool | Non
 
     Text is a column name; use ``F.lit`` for constant text.
     """
-    def expression(value):
-        if isinstance(value, Column):
-            return value
-        return F.col(value) if isinstance(value, str) else F.lit(value)
+    return df.select(*[_expression(v).alias(name) for name, v in mapping.items()])
 
-    return df.select(*[expression(v).alias(name) for name, v in mapping.items()])
 
+def _expression(value: Column | str | int | bool | None) -> Column:
+    if isinstance(value, Column):
+        return value
+    return F.col(value) if isinstance(value, str) else F.lit(value)
 
-def split_entity(
-    df: DataFrame, specs: Mapping[str, Mapping[str, Column | str | int | bool | None]]
-) -> dict[str, DataFrame]:
-    """One source row as rows of several tables that share its key."""
-    return {table: project(df, mapping) for table, mapping in specs.items()}
+
+Specs = Mapping[str, Mapping[str, Column | str | int | bool | None]]
+
+
+def tagged_rows(df: DataFrame, specs: Specs) -> DataFrame:
+    """``(table_name, columns of all tables)``: a row for each source row and table, in one pass over the source.
+
+    A column that a table lacks is NULL; tables that share a column must agree on its type.
+    """
+    return _tagged(df, {t: project(df, mapping) for t, mapping in specs.items()}, specs, lambda column, type_: column)
+
+
+def split_entity(df: DataFrame, specs: Specs) -> dict[str, DataFrame]:
+    """One source row as rows of several tables that share its key, in one pass over the source.
+
+    The rows are written by table, so the source is read once however many tables there
+    are, and each table reads its own files and columns.
+    """
+    tables = {t: project(df, mapping) for t, mapping in specs.items()}
+    if len(tables) < 2:
+        return tables
+
+    def stored(column: str, type_: str) -> str:  # tables may differ in a column's type
+        return f"{column} {type_}".translate(str.maketrans(" ,;{}()<>", "_________"))
+
+    folder, rows = work_dir(df.sparkSession, "split"), _tagged(df, tables, specs, stored)
+    rows.write.partitionBy("table_name").parquet(folder)
+    every = df.sparkSession.read.schema(rows.schema).parquet(folder)
+    return {
+        t: every.where(F.col("table_name") == t).select(*[F.col(f"`{stored(c, type_)}`").alias(c) for c, type_ in table.dtypes])
+        for t, table in tables.items()
+    }
+
+
+def _tagged(df: DataFrame, tables: Mapping[str, DataFrame], specs: Specs, stored: Callable[[str, str], str]) -> DataFrame:
+    types = {stored(c, type_): type_ for table in tables.values() for c, type_ in table.dtypes}
+    rows = []
+    for t, table in tables.items():
+        own = {stored(c, type_): (_expression(specs[t][c]), type_) for c, type_ in table.dtypes}
+        wrong = [c for c, (_, type_) in own.items() if types[c] != type_]
+        if wrong:
+            raise ValueError(f"tables differ in the type of {wrong}")
+        columns = [(own[c][0] if c in own else F.lit(None)).cast(type_).alias(c) for c, type_ in types.items()]
+        rows.append(F.struct(F.lit(t).alias("table_name"), *columns))
+    return df.select(F.explode(F.array(*rows)).alias("_row")).select("_row.*")
 
 
 def default_nulls(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:

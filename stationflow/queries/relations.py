@@ -23,8 +23,8 @@ from stationflow.operators.tables import (
     append,
     copy_lookup,
     literal_table,
-    split_entity,
     stack,
+    tagged_rows,
     unpivot_codes,
     with_old_id,
 )
@@ -66,13 +66,11 @@ def class_split(spark, folder):
 
     region, nation, customer = (table(spark, folder, t) for t in ("region", "nation", "customer"))
     pieces = [
-        split_entity(region, specs(F.col("r_regionkey") + 300, "r_name", F.lit(84), ("garea", "division"))),
-        split_entity(nation, specs(F.col("n_nationkey") + 400, "n_name", F.col("n_regionkey") + 300, ("garea", "division"))),
-        split_entity(customer, specs(F.col("c_custkey") + 1000, "c_name", F.col("c_nationkey") + 400, ("gpoint", "station"))),
+        tagged_rows(region, specs(F.col("r_regionkey") + 300, "r_name", F.lit(84), ("garea", "division"))),
+        tagged_rows(nation, specs(F.col("n_nationkey") + 400, "n_name", F.col("n_regionkey") + 300, ("garea", "division"))),
+        tagged_rows(customer, specs(F.col("c_custkey") + 1000, "c_name", F.col("c_nationkey") + 400, ("gpoint", "station"))),
     ]
-    return stack(
-        *[rows_.select(F.lit(name).alias("table_name"), "*") for piece in pieces for name, rows_ in piece.items()]
-    )
+    return stack(*pieces)
 
 
 @query("""

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stationflow.operators.documents import PART_BYTES, ordered_parts
+from stationflow.session import written
+
 
 # Names of a file system that Spark's and Arrow's readers spell differently.
 _SCHEMES = {"s3a": "s3", "s3n": "s3"}
@@ -28,17 +32,35 @@ def _location(spark: SparkSession, path: str) -> str:
     return f"{_SCHEMES.get(scheme, scheme)}://{rest}" if separator else path
 
 
-def _prepare(location: str, mode: str) -> None:
+def _staged(location: str, mode: str) -> str:
+    """A new hidden folder beside ``location`` for files that are not complete yet."""
     from pyarrow import fs
 
     filesystem, base = fs.FileSystem.from_uri(location)
-    info = filesystem.get_file_info(base)
-    if info.type != fs.FileType.NotFound:
-        found = filesystem.get_file_info(fs.FileSelector(base))
-        if found and mode != "overwrite":
+    if mode != "overwrite" and filesystem.get_file_info(base).type != fs.FileType.NotFound:
+        if filesystem.get_file_info(fs.FileSelector(base)):
             raise FileExistsError(location)
-        filesystem.delete_dir_contents(base)
-    filesystem.create_dir(base, recursive=True)
+    top, _, name = location.rstrip("/").rpartition("/")
+    staging = f"{top}/.{name}.{uuid.uuid4().hex}"
+    filesystem.create_dir(fs.FileSystem.from_uri(staging)[1], recursive=True)
+    return staging
+
+
+def _publish(staging: str, location: str) -> None:
+    """The complete folder in place of what there was."""
+    from pyarrow import fs
+
+    filesystem, base = fs.FileSystem.from_uri(location)
+    if filesystem.get_file_info(base).type != fs.FileType.NotFound:
+        filesystem.delete_dir(base)
+    filesystem.move(fs.FileSystem.from_uri(staging)[1], base)
+
+
+def _discard(staging: str) -> None:
+    from pyarrow import fs
+
+    filesystem, base = fs.FileSystem.from_uri(staging)
+    filesystem.delete_dir(base)
 
 
 def _file_task(location: str):
@@ -97,29 +119,80 @@ def _file_task(location: str):
     return write
 
 
+def _join_task(location: str):
+    """A task that makes each file of its ordered pieces, of one or many, and deletes these."""
+    def join(batches):
+        import uuid
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        filesystem, base = fs.FileSystem.from_uri(location)
+        attempt = uuid.uuid4().hex
+        for batch in batches:
+            for name, pieces in zip(batch["file"].to_pylist(), batch["pieces"].to_pylist(), strict=True):
+                if filesystem.get_file_info(f"{base}/{name}").type == fs.FileType.NotFound:
+                    if len(pieces) == 1:
+                        filesystem.move(f"{base}/{pieces[0]}", f"{base}/{name}")
+                        continue
+                    with filesystem.open_output_stream(f"{base}/.{name}.{attempt}") as out:
+                        for piece in pieces:
+                            with filesystem.open_input_stream(f"{base}/{piece}") as stream:
+                                while data := stream.read(1 << 22):
+                                    out.write(data)
+                    filesystem.move(f"{base}/.{name}.{attempt}", f"{base}/{name}")
+                for info in filesystem.get_file_info([f"{base}/{piece}" for piece in pieces]):
+                    if info.type != fs.FileType.NotFound:  # or an earlier attempt has come this far
+                        filesystem.delete_file(info.path)
+            yield pa.RecordBatch.from_pydict({"file": batch["file"]})
+
+    return join
+
+
 def _run(df: DataFrame, path: str, mode: str) -> Written:
+    """Files of ``(file, content)`` rows, of which each file's lie together: all of them, or none if a task fails."""
     location = _location(df.sparkSession, path)
-    _prepare(location, mode)
-    listed = df.mapInArrow(_file_task(location), "file string, rows long")
-    total = listed.agg(F.count("*").alias("files"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).collect()[0]
+    staging = _staged(location, mode)
+    try:
+        listed = df.mapInArrow(_file_task(staging), "file string, rows long")
+        total = listed.agg(F.count("*").alias("files"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).collect()[0]
+        _publish(staging, location)
+    except BaseException:
+        _discard(staging)
+        raise
     return Written(total["files"], total["rows"])
 
 
-def write_series_dir(lines: DataFrame, path: str, mode: str = "error", period: Column | None = None) -> Written:
+def write_series_dir(
+    lines: DataFrame, path: str, mode: str = "error", period: Column | None = None, part_bytes: int = PART_BYTES
+) -> Written:
     """``(id, ts, line)`` as files ``NNNNN.data`` with CR LF lines sorted by time.
 
-    A file is written by one task from sorted rows, whatever its length.
-    ``period`` is a text that grows with time, such as the year; with it a
-    series has a file ``NNNNN.PERIOD.data`` for each period and as many tasks.
-    Readers take the id before the first dot either way. ``mode='overwrite'``
-    empties the folder first.
+    The lines of all series are sorted into ranges and make parts of ``part_bytes``, so a
+    long series is written by many tasks; one task then puts its parts together, reading
+    them as streams. ``period`` is a text that grows with time, such as the year; with it
+    a series has a file ``NNNNN.PERIOD.data`` for each period. Readers take the id before
+    the first dot either way. ``mode='overwrite'`` replaces the folder. The files show
+    when all of them are complete.
     """
     name = F.format_string("%05d.data", "id") if period is None else F.format_string("%05d.%s.data", F.col("id"), period)
     rows = lines.select(
         name.alias("file"), "ts", F.concat(F.coalesce("line", F.lit("")), F.lit("\r\n")).alias("line")
     )
-    sort = [F.col("file"), F.col("ts").asc_nulls_last(), F.col("line")]
-    return _run(rows.repartition("file").sortWithinPartitions(*sort).select("file", "line"), path, mode)
+    location = _location(lines.sparkSession, path)
+    staging = _staged(location, mode)
+    try:
+        parts = ordered_parts(rows, ["file"], ["ts"], F.col("line"), sep="", part_bytes=part_bytes)
+        piece = F.format_string(".%s.%09d", "file", "part")
+        pieces = written(parts.select(piece.alias("piece"), "content").mapInArrow(_file_task(staging), "file string, rows long"), "series-pieces")
+        series = F.regexp_extract("file", r"^\.(.*)\.[0-9]{9}$", 1)
+        whole = pieces.groupBy(series.alias("file")).agg(F.array_sort(F.collect_list("file")).alias("pieces"))
+        files = whole.mapInArrow(_join_task(staging), "file string").count()
+        _publish(staging, location)
+    except BaseException:
+        _discard(staging)
+        raise
+    return Written(files, lines.count())
 
 
 def write_blobs(df: DataFrame, path: str, name: Column, blob: str, mode: str = "error") -> Written:

@@ -115,11 +115,22 @@ def read_copy_dump(spark: SparkSession, path: str, schemas: dict[str, StructType
 
 
 def _check_ends(lines: DataFrame) -> None:
-    """Every header is followed by its end mark before the next header of its file."""
+    """Every header is followed by its end mark before the next header of its file.
+
+    Marks are ordered inside their split; of each split only the first and the last one
+    are ordered by file.
+    """
     marks = lines.where(F.col("header").isNotNull() | F.col("end"))
-    after = F.lead("end").over(Window.partitionBy("file").orderBy("block", "row"))
-    unended = marks.withColumn("ended", after).where(F.col("header").isNotNull() & ~F.coalesce("ended", F.lit(False)))
-    found = unended.select("file", "header.name").limit(1).collect()
+    opened = F.when(F.col("header").isNotNull(), F.col("header.name"))
+    inside = Window.partitionBy("file", "block").orderBy("row")
+    followed = marks.select("file", "block", "row", opened.alias("name"), F.lead(opened).over(inside).alias("next"))
+    splits = followed.groupBy("file", "block").agg(
+        F.min_by(F.struct("name"), "row").alias("first"), F.max_by(F.struct("name"), "row").alias("last"),
+        F.min(F.when(F.col("next").isNotNull(), F.col("name"))).alias("unended"),
+    )
+    after = F.lead("first").over(Window.partitionBy("file").orderBy("block"))
+    across = F.when(after.isNull() | after["name"].isNotNull(), F.col("last.name"))
+    found = splits.select("file", F.coalesce("unended", across).alias("name")).where("name IS NOT NULL").limit(1).collect()
     if found:
         raise ValueError(f"no end mark for table {found[0]['name']} in {found[0]['file']}")
 

@@ -9,7 +9,7 @@ from stationflow.operators.documents import ordered_parts, ordered_text
 from stationflow.operators.ids import assign_ids, next_ids
 from stationflow.operators.joins import match_time_steps, members, not_in
 from stationflow.operators.skew import one_per_key
-from stationflow.operators.tables import append
+from stationflow.operators.tables import append, split_entity, tagged_rows
 from stationflow.operators.updates import get_or_create, new, update_from
 from stationflow.plans.national import unit_variables
 from stationflow.sinks.files import write_blobs, write_series_dir
@@ -168,11 +168,62 @@ def test_blobs_need_names_of_their_own(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "blobs").iterdir()) == ["a", "b"]
 
 
-def test_failed_files_leave_nothing(spark, tmp_path):
-    df = spark.createDataFrame([("a", "1"), ("x/y/z", "2")], "n string, b string").coalesce(1)
+def test_files_show_all_at_once(spark, tmp_path):
+    """A task that fails after others have written leaves the folder as it was."""
+    folder = tmp_path / "files"
+    folder.mkdir()
+    rows_ = spark.range(0, 50, 1, 5).select(F.format_string("%d", "id").alias("n"), F.lit("text").alias("b"), "id")
+    late = F.when(F.col("id") == 49, F.raise_error(F.reflect(F.lit("java.lang.Thread"), F.lit("currentThread")))).otherwise(F.col("b"))
     with pytest.raises(Exception):
-        write_blobs(df, str(tmp_path / "blobs"), F.col("n"), "b")
-    assert not [p for p in (tmp_path / "blobs").iterdir() if p.name.startswith(".") and "a" not in p.name]
+        write_blobs(rows_.withColumn("b", late), str(folder), F.col("n"), "b")
+    assert [p.name for p in tmp_path.iterdir()] == ["files"] and not list(folder.iterdir())
+    with pytest.raises(Exception):  # a name that is no file's
+        write_blobs(rows_.withColumn("n", F.when(F.col("id") == 49, "x/y").otherwise(F.col("n"))), str(folder), F.col("n"), "b")
+    assert [p.name for p in tmp_path.iterdir()] == ["files"] and not list(folder.iterdir())
+    assert write_blobs(rows_, str(folder), F.col("n"), "b") == (50, 50)
+    lines = rows_.select(F.lit(1).alias("id"), F.timestamp_seconds("id").cast("timestamp_ntz").alias("ts"), late.alias("line"))
+    with pytest.raises(Exception):
+        write_series_dir(lines, str(folder), mode="overwrite")
+    assert len(list(folder.iterdir())) == 50
+    with pytest.raises(FileExistsError):
+        write_blobs(rows_, str(folder), F.col("n"), "b")
+
+
+def test_series_file_of_many_tasks(spark, no_broadcast, tmp_path):
+    """One series with all rows: several tasks write its pieces, and it is one file."""
+    lines = spark.range(0, 20_000, 1, 6).select(
+        F.lit(7).alias("id"), F.timestamp_seconds(F.col("id") * 97 % 20_000).cast("timestamp_ntz").alias("ts"), F.format_string("%06d", F.col("id") * 97 % 20_000).alias("line")
+    )
+    assert write_series_dir(lines, str(tmp_path / "out"), part_bytes=10_000) == (1, 20_000)
+    assert [p.name for p in (tmp_path / "out").iterdir()] == ["00007.data"]
+    assert (tmp_path / "out" / "00007.data").read_bytes() == b"".join(b"%06d\r\n" % i for i in range(20_000))
+    pieces = ordered_parts(lines, ["id"], ["ts"], F.col("line"), part_bytes=10_000)
+    assert pieces.select(F.spark_partition_id().alias("p")).distinct().count() > 4
+
+
+def test_split_in_one_pass(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
+    tables = split_entity(df, {"x": {"id": "k", "v": "v"}, "y": {"id": F.col("k").cast("long"), "n": 5}, "z": {}})
+    assert rows(tables["x"]) == [(1, "a"), (2, None)] and rows(tables["y"]) == [(1, 5), (2, 5)]
+    assert tables["x"].dtypes == [("id", "int"), ("v", "string")] and tables["y"].dtypes == [("id", "bigint"), ("n", "int")]
+    assert split_entity(df.limit(0), {"x": {"id": "k"}, "y": {"id": "k"}})["y"].count() == 0
+    with pytest.raises(ValueError):
+        tagged_rows(df, {"x": {"id": "k"}, "y": {"id": "v"}})
+
+
+def test_ids_stage_no_payload(spark, tmp_path):
+    """Rows of files keep their payload there: only places are sorted and written."""
+    from stationflow import session
+
+    spark.range(0, 5000, 1, 5).select("id", F.repeat(F.sha2(F.col("id").cast("string"), 256), 20).alias("text")).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    before = len(session._FOLDERS)
+    numbered = assign_ids(table.where("id % 2 = 0"), ["id"], name="n")
+    staged = [f for _, f in session._FOLDERS[before:]]
+    assert len(staged) == 1 and spark.read.parquet(staged[0]).columns == ["_file", "_row", "_place"]
+    assert [tuple(r) for r in numbered.orderBy("id").select("id", "n").collect()] == [(2 * i, i + 1) for i in range(2500)]
+    joined = assign_ids(table.join(spark.range(2).toDF("k")), ["k", "id"], name="n")
+    assert joined.agg(F.countDistinct("n"), F.max("n")).first()[:] == (10_000, 10_000)
 
 
 def test_locations(spark):
