@@ -257,6 +257,16 @@ def cross_sections(sections: DataFrame, drawings: str = DRAWING_EXTENSION) -> Da
     return update_where_in(rows, "id", undrawn, "id", {"drawing_file": F.lit("")})
 
 
+def set_details(target: Target, asset: Asset, source: Source, links: DataFrame) -> None:
+    """The asset's own fields, set from the source row that each asset is linked to."""
+    details = asset.details(source)
+    special = details.select(F.col("id").alias("_id"), *[c.alias(n) for n, c in asset.fields.items()])
+    owned = links.select("asset_id", "source_id").join(special, F.col("source_id") == F.col("_id"))
+    target[asset.table] = update_from(
+        target[asset.table], owned, {"gisentity_ptr_id": "asset_id"}, {n: new(n) for n in asset.fields}
+    )
+
+
 def _add_curves(target: Target, asset: Asset, source: Source, links: DataFrame) -> None:
     for subtype in asset.curves:
         curves = source["curves"].where(F.col("terminal_subtable") == subtype)
@@ -328,12 +338,7 @@ def load(spark: SparkSession, asset: Asset, source: Source, existing: Source, me
                 "land_use_id": new("land_use"), "continuous_flow": new("continuous_flow"),
             },
         )
-    details = asset.details(source)
-    special = details.select(F.col("id").alias("_id"), *[c.alias(n) for n, c in asset.fields.items()])
-    owned = links.select("asset_id", "source_id").join(special, F.col("source_id") == F.col("_id"))
-    target[asset.table] = update_from(
-        target[asset.table], owned, {"gisentity_ptr_id": "asset_id"}, {n: new(n) for n in asset.fields}
-    )
+    set_details(target, asset, source, links)
     _add_curves(target, asset, source, any_links)
     add_series(target, source, links)
     target["next_ids"] = target.next_ids(sorted(target.tables))

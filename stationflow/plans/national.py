@@ -69,7 +69,7 @@ def _lookups(source: Source, target: Target, spark: SparkSession) -> None:
     ))
 
 
-def _areas(source: Source, target: Target) -> None:
+def add_areas(source: Source, target: Target) -> None:
     """Districts, states, water districts, basins and sub-basins."""
     def add(rows: DataFrame, key: Column, name: str, short_name: Column | str, own: str, own_columns: dict) -> None:
         pieces = split_entity(rows, {
@@ -162,6 +162,17 @@ def station_tables(stations: DataFrame) -> Tables:
     })
 
 
+def instrument_rows(configured: DataFrame, stations: DataFrame) -> DataFrame:
+    """The instruments of these stations."""
+    instruments = members(configured, "stationid", stations, "stationid")
+    return project(instruments, {
+        "id": divided_key("stconfigid", 100), "station_id": station_key("stationid"), "type_id": "instrtype",
+        "manufacturer": F.lit(""), "model": F.lit(""), "is_active": False,
+        "start_date": "instartdate", "end_date": "inenddate", "name": F.lit(""),
+        "remarks": or_default("notes", ""), "name_alt": F.lit(""), "remarks_alt": F.lit(""),
+    })
+
+
 def add_people(stations: DataFrame, target: Target, one_per_name: bool = True) -> None:
     """Persons, their legal entities and overseers from the stations' observers."""
     observed = stations.where(F.col("observer") != "")
@@ -193,7 +204,7 @@ def load(
     """
     target = Target(existing)
     _lookups(source, target, spark)
-    _areas(source, target)
+    add_areas(source, target)
     services = split_entity(source["services"], {
         "lentity": {"id": "srvid", "remarks": F.lit(""), "remarks_alt": F.lit("")},
         "organization": {
@@ -205,13 +216,7 @@ def load(
         target.add(table, rows)
     target.add("timeseries", series_rows(source["raw_timeseries_info"], target["unitofmeasurement_variables"]))
     stations = source["stations"].where(F.col("srvid") == service_id)
-    instruments = members(source["stationconfig"], "stationid", stations, "stationid")
-    target.add("instrument", project(instruments, {
-        "id": divided_key("stconfigid", 100), "station_id": station_key("stationid"), "type_id": "instrtype",
-        "manufacturer": F.lit(""), "model": F.lit(""), "is_active": False,
-        "start_date": "instartdate", "end_date": "inenddate", "name": F.lit(""),
-        "remarks": or_default("notes", ""), "name_alt": F.lit(""), "remarks_alt": F.lit(""),
-    }))
+    target.add("instrument", instrument_rows(source["stationconfig"], stations))
     for table, rows in station_tables(stations).items():
         target.add(table, rows)
     add_people(stations, target, one_person_per_name)

@@ -126,6 +126,19 @@ def series_rows(series: DataFrame, entities: DataFrame) -> DataFrame:
     return project(loaded, {"id": "id", "gentity_id": "gentity", **series_columns()})
 
 
+def add_events_and_files(target: Target, source: Source, media_name: str) -> None:
+    """Events, file types and the file rows of the entities that are loaded."""
+    target.add("gentityevent", project(source["gentities_events"], {
+        "gentity_id": offset_key("id", ENTITIES), "date": "event_date", "type_id": "event_type",
+        "user": or_default("event_user", ""), "report": or_default("report", ""), "report_alt": or_default("report_en", ""),
+    }), serial=["gentity_id", "date", "type_id"])
+    target.add("filetype", copy_lookup(source["ftypes"], mime_type=or_default("mime_type", "")))
+    media = source["gentities_multimedia"].withColumn("gentity_id", offset_key("id", ENTITIES))
+    loaded = members(media, "gentity_id", target["gentity"], "id")
+    files = project(loaded, {"gentity_id": "gentity_id", "_num": "num", **file_columns(media_name)})
+    target.add("gentityfile", files, serial=["gentity_id", "_num"], unique=True, helpers=["_num"])
+
+
 def load(
     spark: SparkSession,
     source: Source,
@@ -165,15 +178,7 @@ def load(
     )
     target.add("gentityaltcode", codes, serial=["type_id", "gentity_id"], unique=True)
 
-    target.add("gentityevent", project(source["gentities_events"], {
-        "gentity_id": offset_key("id", ENTITIES), "date": "event_date", "type_id": "event_type",
-        "user": or_default("event_user", ""), "report": or_default("report", ""), "report_alt": or_default("report_en", ""),
-    }), serial=["gentity_id", "date", "type_id"])
-    target.add("filetype", copy_lookup(source["ftypes"], mime_type=or_default("mime_type", "")))
-    media = source["gentities_multimedia"].withColumn("gentity_id", offset_key("id", ENTITIES))
-    loaded = members(media, "gentity_id", target["gentity"], "id")
-    files = project(loaded, {"gentity_id": "gentity_id", "_num": "num", **file_columns(media_name)})
-    target.add("gentityfile", files, serial=["gentity_id", "_num"], unique=True, helpers=["_num"])
+    add_events_and_files(target, source, media_name)
     curves = source["curves"].where(F.col("terminal_subtable") == "hq_curves")
     target.add("gentitygenericdata", project(curves, {
         **curve_columns(CURVE_TYPE), "gentity_id": offset_key("gentity", ENTITIES),

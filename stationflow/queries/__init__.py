@@ -16,7 +16,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
-_MODULES = ("columns", "relations", "documents", "series", "storage", "loads", "edges", "stores")
+_MODULES = ("columns", "relations", "documents", "series", "storage", "loads", "edges", "stores", "parts")
 
 
 def query(sql: str | None):
