@@ -54,8 +54,7 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     _, threshold = _ranked(docs, labels, model, id_col, text_col, seed)
     docs = docs.drop("log_weight", "resample_key")
     schema = docs.schema.add("log_weight", "double")
-    rows = docs.withColumn("_bytes", text_bytes(F.col(text_col)))
-    scored = rows.mapInArrow(lambda batches: _weights(batches, model), schema)
+    scored = docs.mapInArrow(lambda batches: _weights(batches, model, text_col, keep=True), schema)
     return scored.withColumn("resample_key", _key(id_col, seed)).filter(F.col("resample_key") >= F.lit(threshold))
 
 
@@ -89,7 +88,7 @@ def _ranked(docs: DataFrame, labels: DataFrame, model: np.ndarray, id_col: str,
     """(id, log_weight, resample_key) of every document, and the smallest key that is kept."""
     schema = docs.select(id_col).schema.add("log_weight", "double")
     rows = docs.select(id_col, text_bytes(F.col(text_col)).alias("_bytes"))
-    scored = staged(rows.mapInArrow(lambda batches: _weights(batches, model), schema).withColumn("resample_key", _key(id_col, seed)), "weights")
+    scored = staged(rows.mapInArrow(lambda batches: _weights(batches, model, "_bytes", keep=False), schema).withColumn("resample_key", _key(id_col, seed)), "weights")
     share = _verdicts(labels, id_col).agg(F.avg("clean")).first()[0]
     if share is None or not model.any():
         return scored, float("-inf")
@@ -166,14 +165,15 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict({"bucket": used.astype(np.int32), "raw": raw[used], "target": target[used]})
 
 
-def _weights(batches: Iterator[pa.RecordBatch], model: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _weights(batches: Iterator[pa.RecordBatch], model: np.ndarray, column: str, keep: bool) -> Iterator[pa.RecordBatch]:
+    """The rows with their log weight; the texts go to the task once, and ``keep`` says they come back."""
     for batch in batches:
         out = np.zeros(batch.num_rows)
-        for w in words(batch["_bytes"]):
+        for w in words(batch[column].cast(pa.binary()).fill_null(b"")):
             total = np.zeros(len(w.starts) + 1)
             for buckets, begin in zip(*_features(w), strict=True):
                 total[begin + 1] += model[buckets]
             total = np.cumsum(total)
             out[w.rows.start : w.rows.stop] = total[w.first[1:]] - total[w.first[:-1]]
-        batch = batch.drop_columns(["_bytes"])
+        batch = batch if keep else batch.drop_columns([column])
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*batch.schema.names, "log_weight"])
