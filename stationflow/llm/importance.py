@@ -29,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from stationflow.llm.staging import staged, text_bytes
 from stationflow.llm.tokens import Words, mix, words
@@ -53,7 +54,7 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     model = _fit(docs, labels, id_col, text_col, sample)
     _, threshold = _ranked(docs, labels, model, id_col, text_col, seed)
     docs = docs.drop("log_weight", "resample_key")
-    schema = docs.schema.add("log_weight", "double")
+    schema = StructType([*docs.schema.fields]).add("log_weight", "double")
     scored = docs.mapInArrow(lambda batches: _weights(batches, model, text_col, keep=True), schema)
     return scored.withColumn("resample_key", _key(id_col, seed)).filter(F.col("resample_key") >= F.lit(threshold))
 
