@@ -63,12 +63,23 @@ def number_text(value: Column | str) -> Column:
 def six_decimals(number: Column | str) -> Column:
     """A number as ``%f`` prints it: the exact binary value rounded to six decimals, ties to even.
 
-    The fraction times a million is rounded once by the machine; where that lies
-    near a tie, the rounding error (exact from the halves of the factors) decides.
-    Values from 2**63 on, and names such as NaN, are left to the formatter.
+    Below a million, the machine's product with a million is off by less than a
+    thousandth, which settles all numbers but those near a tie. For these and larger
+    ones the fraction times a million is rounded once by the machine, and its rounding
+    error (exact from the halves of the factors) decides at a tie. Values from 2**63
+    on, and names such as NaN, are left to the formatter.
     """
     number = _col(number).cast("double")
     size = F.abs(number)
+    scaled = size * F.lit(1e6)
+    settled = (size < F.lit(1e6)) & (F.abs(scaled - F.floor(scaled) - F.lit(0.5)) > F.lit(1e-3))
+    millionths = F.floor(scaled + F.lit(0.5))
+    plain = F.concat(
+        F.call_function("div", millionths, F.lit(1000000)).cast("string"), F.lit("."),
+        F.substring((millionths % 1000000 + 1000000).cast("string"), 2, 6),
+    )
+    minus = (number < 0) | ((number == 0) & F.startswith(number.cast("string"), F.lit("-")))  # also of a negative zero
+    sign = F.when(minus, F.lit("-")).otherwise(F.lit(""))
     whole = F.floor(size)
     fraction = size - whole
     million = F.lit(1e6)
@@ -80,8 +91,8 @@ def six_decimals(number: Column | str) -> Column:
     digits = digits + F.when((beyond > 0) | ((beyond == 0) & (digits % 2 == 1)), 1).otherwise(0)
     full = whole.cast("long") + F.when(digits >= 1000000, 1).otherwise(0)
     text = F.concat(full.cast("string"), F.lit("."), F.lpad((digits % 1000000).cast("string"), 6, "0"))
-    sign = F.when(F.startswith(number.cast("string"), F.lit("-")), F.lit("-")).otherwise(F.lit(""))
-    return F.when(size < F.lit(float(1 << 63)), F.concat(sign, text)).otherwise(F.format_string("%f", number))
+    exact = F.when(size < F.lit(float(1 << 63)), F.concat(sign, text)).otherwise(F.format_string("%f", number))
+    return F.when(settled, F.concat(sign, plain)).otherwise(exact)
 
 
 def point_line(*numbers: Column | str) -> Column:

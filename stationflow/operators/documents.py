@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
@@ -25,8 +24,6 @@ from stationflow.session import written
 PART_BYTES = 64 << 20
 # Bytes of the pieces that a part is put together from, and characters of a text in a sampled bound.
 PIECE_OF_PART, _BOUND = 1 << 20, 64
-# Bytes of the pieces that a digest is taken from; a batch holds 10,000 of them.
-PIECE_BYTES = 16 << 10
 
 
 def _joined(line: str, order: Sequence[str], sep: str) -> Column:
@@ -190,64 +187,6 @@ def ordered_text(
     return base.groupBy(*keys).agg(text, *[c.alias(n) for n, c in extra.items()])
 
 
-def text_digests(df: DataFrame, key: str, value: str, sep: str = ",", piece_bytes: int = PIECE_BYTES) -> DataFrame:
-    """``(key, digest)``: md5 of each key's whole numbers in order, ``sep`` between, without NULLs.
-
-    Equal values are counted before the shuffle; all tasks of a sort turn them into
-    pieces of text. md5 is a chain, so a key's pieces pass through one task, sorted on
-    disk and read as a stream: the text is never one value and has no largest size.
-    """
-    kind = df.schema[key].dataType.simpleString()
-
-    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def batch(key, first: list[int], text: list[bytes]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([key] * len(text), schema.field(0).type), pa.array(first, pa.int64()), pa.array(range(len(text)), pa.int64()), pa.array(text, pa.binary())], schema=schema)
-
-        for rows in batches:
-            schema = pa.schema([("key", rows.schema.field(0).type), ("first", pa.int64()), ("seq", pa.int64()), ("text", pa.binary())])
-            held, at, size, last = [], None, 0, None
-            for k, v, n in zip(*(rows[c].to_pylist() for c in ("key", "value", "n")), strict=True):
-                if held and (k != last or size >= piece_bytes):
-                    yield batch(last, [at], [b"".join(held)])
-                    held, size = [], 0
-                text, last = f"{sep}{v}".encode(), k
-                most = max(1, piece_bytes // len(text))
-                if n > most:
-                    if held:
-                        yield batch(k, [at], [b"".join(held)])
-                        held, size = [], 0
-                    yield batch(k, [v], [text * (n % most)])
-                    whole = text * most
-                    for seq in range(n // most):
-                        yield pa.RecordBatch.from_arrays([pa.array([k], schema.field(0).type), pa.array([v], pa.int64()), pa.array([seq + 1], pa.int64()), pa.array([whole], pa.binary())], schema=schema)
-                    continue
-                at = at if held else v
-                held.append(text * n)
-                size += len(held[-1])
-            if held:
-                yield batch(last, [at], [b"".join(held)])
-
-    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, state, type_ = None, None, None
-        done = lambda: pa.RecordBatch.from_arrays([pa.array([last], type_), pa.array([state.hexdigest()])], names=[key, "digest"])
-        for rows in batches:
-            type_ = rows.schema.field(0).type
-            for k, text in zip(rows["key"].to_pylist(), rows["text"].to_pylist(), strict=True):
-                if not text:
-                    continue
-                if state is None or k != last:
-                    if state is not None:
-                        yield done()
-                    last, state, text = k, hashlib.md5(), text[len(sep.encode()):]
-                state.update(text)
-        if state is not None:
-            yield done()
-
-    counts = df.filter(F.col(value).isNotNull()).groupBy(F.col(key).alias("key"), F.col(value).cast("long").alias("value")).agg(F.count("*").alias("n"))
-    texts = counts.orderBy("key", "value").mapInArrow(pieces, f"key {kind}, first long, seq long, text binary")
-    return texts.repartition("key").sortWithinPartitions("key", "first", "seq").mapInArrow(digests, f"{key} {kind}, digest string")
-
-
 def curve_documents(curves: DataFrame, points: DataFrame, order: str, numbers: Sequence[str]) -> DataFrame:
     """``(id, content)`` for every curve: its points in order; '' without points."""
     texts = ordered_text(points, ["id"], [order], point_line(*numbers)).select(

@@ -377,21 +377,3 @@ def test_record_lines_round_trip(spark):
         assert rows(parsed) == rows(expected)
 
     check()
-
-
-def test_digests_of_streams(spark):
-    """Digests of whole tables come from bounded pieces, never from one joined value."""
-    import hashlib
-
-    from stationflow.operators.documents import text_digests
-    from stationflow.queries import QUERIES, load_all
-
-    values = {"a": [5] * 40 + [-3, 7, 7, 100, 2] + list(range(200, 260)), "b": [1], "c": [9] * 8}
-    rows = [(k, v) for k, own in values.items() for v in own] + [("a", None), ("d", None)]
-    df = spark.createDataFrame(rows, "name string, value long").repartition(5)
-    expected = {k: hashlib.md5(",".join(map(str, sorted(own))).encode()).hexdigest() for k, own in values.items()}
-    for size in (8, 50, 1 << 14):
-        assert {r["name"]: r["digest"] for r in text_digests(df, "name", "value", piece_bytes=size).collect()} == expected
-    load_all()
-    plan = QUERIES["snapshot_counts"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
-    assert "listagg" not in plan.lower()
