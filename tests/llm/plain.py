@@ -6,6 +6,8 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow as pa
+
 
 def words(text: str | None, lower: bool = False) -> list[bytes]:
     raw = (text or "").encode()
@@ -94,3 +96,85 @@ def cut_lines(rows: list[tuple], ratio: float, least: int) -> list[tuple]:
             holding.update((host, line) for line in set(text.split("\n")) - {""})
     gone = {x for x, n in holding.items() if n >= least and n > ratio * pages[x[0]]}
     return [(i, text if text is None else "\n".join(x for x in text.split("\n") if (host, x) not in gone), host) for i, text, host in rows]
+
+
+def suffix_tree(training: list[list], least_count: int, least_gain: float, discount: float = 0.75):
+    """(predict, vocabulary, states): the tree of lists of words that end with None."""
+    count = Counter(x for t in training for x in t)
+    total, distinct = sum(count.values()), len(count)
+    following: dict[tuple, Counter] = defaultdict(Counter)
+    longest = max(map(len, training), default=0)
+
+    def root(word: object) -> float:
+        return (count[word] + 1) / (total + distinct + 1)
+
+    def own(context: tuple, word: object, shorter: float) -> float:
+        next_ = following[context]
+        n = sum(next_.values())
+        return max(next_[word] - discount, 0) / n + discount * len(next_) / n * shorter
+
+    passed: set[tuple] = set()
+
+    def tested(context: tuple, word: object) -> float:
+        """The prediction while the tree grows: contexts that passed count, their suffixes may not."""
+        if not context:
+            return root(word)
+        shorter = tested(context[1:], word)
+        return own(context, word, shorter) if context in passed else shorter
+
+    for n in range(1, longest):
+        for t in training:
+            for i in range(n, len(t)):
+                following[tuple(t[i - n : i])][t[i]] += 1
+        level = set()
+        for context in [c for c in following if len(c) == n and sum(following[c].values()) >= least_count]:
+            gain = 0.0
+            for word, times in following[context].items():
+                shorter = tested(context[1:], word)
+                gain += times * math.log(own(context, word, shorter) / shorter)
+            if gain >= least_gain * sum(following[context].values()):
+                level.add(context)
+        if not level:
+            break
+        passed |= level
+    states = {c[i:] for c in passed for i in range(len(c))}
+
+    def predict(context: tuple, word: object) -> float:
+        return own(context, word, predict(context[1:], word)) if context else root(word)
+
+    return predict, set(count), states
+
+
+def suffix_tree_scores(texts: list[str | None], held: list[bool], least_count: int, least_gain: float) -> tuple[list[float], int]:
+    """log10 probability of each text, and the length of the longest state."""
+    tokens = [[*words(t, lower=True), None] for t in texts]
+    predict, _, states = suffix_tree([t for t, h in zip(tokens, held, strict=True) if not h], least_count, least_gain)
+    longest = max(map(len, states), default=0)
+    out = []
+    for t in tokens:
+        score = 0.0
+        for i, word in enumerate(t):
+            context = tuple(t[max(0, i - longest) : i])
+            while context and context not in states:
+                context = context[1:]
+            score += math.log10(predict(context, word))
+        out.append(score)
+    return out, longest
+
+
+def convolved(model: object, toxicity: object, text: bytes) -> float:
+    """The score of a text by a model: one place, one filter and one component at a time."""
+    size = model.embeddings.shape[1]
+    vectors = []
+    for word in text.lower().split():
+        (own,) = toxicity.words(pa.array([word], pa.binary()), lower=True)
+        vectors.append([sum(float(model.embeddings[b][c]) for b in toxicity._buckets(own)[0]) for c in range(size)])
+    places = max(len(vectors), 1)
+    vectors += [[0.0] * size] * (places + max(toxicity.WIDTHS) - len(vectors))
+    logit, at = model.bias, 0
+    for width, filters, biases in zip(toxicity.WIDTHS, model.filters, model.biases, strict=True):
+        for f in range(len(biases)):
+            best = max(sum(vectors[i + j][c] * float(filters[j * size + c][f]) for j in range(width) for c in range(size)) + float(biases[f]) for i in range(places))
+            logit += max(best, 0.0) * float(model.weights[at])
+            at += 1
+    return 1 / (1 + math.exp(-logit))

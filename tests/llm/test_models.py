@@ -88,35 +88,6 @@ def test_tree_beats_the_base_on_held_out_texts(documents):
     assert (rows[0] - rows[1]) / rows[2] > 0.2
 
 
-def test_states_sum_to_one(spark, documents):
-    training = documents.select(F.col("text").cast("binary").alias("_text"))
-    counts = training.mapInArrow(suffixtree._word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    total, distinct = counts.agg(F.sum("n"), F.count("*")).first()
-    tree = suffixtree._grow(training, counts, total, distinct, 2, 1e-4, 1e-6, 0.05)
-    assert all(level.state.any() for level in tree.levels) and len(tree.levels) == 2
-    every = np.arange(len(tree.listed))
-    unlisted = (total + distinct + 1 - (tree.listed_n + 1).sum()) / (total + distinct + 1)
-    deep = tree.levels[1]
-    for number in np.flatnonzero(deep.state)[:20]:
-        numbers = [np.full(len(every), deep.suffix[number]), np.full(len(every), number)]
-        listed = suffixtree._predict(tree, every, numbers, tree.root(tree.listed_n)).sum()
-        rest = suffixtree._predict(tree, np.array([-1]), [n[:1] for n in numbers], np.ones(1))[0]
-        assert listed + rest * unlisted == pytest.approx(1, abs=1e-9)
-
-
-def test_longest_state_predicts():
-    """By hand: after b comes a; after a b comes c."""
-    tree = suffixtree.Tree(100, 3, np.array([1, 2, 3], np.uint64), np.array([40, 30, 30]), [])
-    first = suffixtree.Level(np.array([0, 1, 2]), np.array([40, 30, 30]), np.full(3, -1), np.array([False, True, False]), np.array([1, 0.2, 1]), np.array([1 << 20 | 0]), np.array([0.8]))
-    second = suffixtree.Level(np.array([0 << 20 | 1]), np.array([10]), np.array([1]), np.array([True]), np.array([0.1]), np.array([0 << 20 | 2]), np.array([0.9]))
-    tree.levels += [first, second]
-    word, numbers = suffixtree._contexts(tree, np.array([2, 1, 1, 2, 3], np.uint64), np.zeros(5, np.int64))
-    root = tree.root(tree.listed_n[word])
-    got = suffixtree._predict(tree, word, numbers, root)
-    a, c = 41 / 104, 31 / 104
-    assert got == pytest.approx([c, 0.8 + 0.2 * a, a, c, 0.9 + 0.1 * 0.2 * c])
-
-
 def test_scores_without_training(odd, empty):
     rows = suffixtree.scores(odd, F.lit(True)).collect()
     assert all(r["train_tokens"] == 0 and r["n_known"] == 0 and r["score"] == 0 for r in rows)
@@ -168,16 +139,55 @@ def test_rare_contexts_predict(spark):
     assert got[1001]["score"] > got[1002]["score"] + 0.8
 
 
-def test_tables_agree_with_the_arrays(spark, odd, monkeypatch):
-    monkeypatch.setattr(suffixtree, "_SENT", 0.01)
-    training = odd.select(F.coalesce("text", F.lit("")).cast("binary").alias("_text"))
-    counts = training.mapInArrow(suffixtree._word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    total, distinct = counts.agg(F.sum("n"), F.count("*")).first()
-    tree = suffixtree._grow(training, counts, total, distinct, 2, 1 / total, 1 / total, 0.05)
-    expected = []
-    for row in training.collect():
-        for w in suffixtree.words(pa.array([bytes(row["_text"])], pa.binary()), lower=True):
-            word, numbers = suffixtree._contexts(tree, *suffixtree._sequence(w))
-            expected.append(np.log10(suffixtree._predict(tree, word, numbers, tree.root(tree.listed_n[word]))).sum())
-    got = suffixtree.scores(odd, F.lit(False), depth=2, least_count=1).collect()
-    assert sorted(r["score"] for r in got) == pytest.approx(sorted(expected))
+@pytest.mark.parametrize("least_count, sent", [(2, 0.01), (3, 1.0), (10, 4e-6)])
+def test_suffix_tree_by_brute_force(spark, odd, odd_rows, rng, monkeypatch, least_count, sent):
+    """Contexts of every length, their test, the states and the scores."""
+    monkeypatch.setattr(suffixtree, "_SENT", sent)
+    chain = {"a": "bbbc", "b": "cccda", "c": "abe", "d": "eeef", "e": "fa", "f": "a"}
+    texts = [r[1] for r in odd_rows if r[1] is None or len(r[1]) < 5000]
+    for _ in range(60):
+        w = ["a", "b"]
+        for _ in range(rng.randrange(40)):
+            w.append(rng.choice(chain[w[-1]]) if rng.random() < 0.5 or w[-2] != "c" else "d")
+        texts.append(" ".join(w))
+    texts += ["x y z x y z x y w"] * 12 + ["over " * 9] * 11
+    held_out = [i % 5 == 0 for i in range(len(texts))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "1 AS key", "'x' AS ctx", "2 AS low", "3 AS score")
+    got = {r["doc_id"]: r["score"] for r in suffixtree.scores(docs.repartition(3), F.col("doc_id") % 5 == 0, least_count=least_count).collect()}
+    expected, longest = plain.suffix_tree_scores(texts, held_out, least_count, 0.05)
+    assert longest >= 2
+    assert [got[i] for i in range(len(texts))] == pytest.approx(expected, abs=1e-9)
+
+
+def test_states_sum_to_one():
+    """The plain tree's predictions of all words and an unknown one, in every state."""
+    texts = ["a b c a b d a b c", "a b c d", "b c a b c"] * 4
+    predict, vocabulary, states = plain.suffix_tree([plain.words(t) + [None] for t in texts], 3, 0.01)
+    assert any(len(s) > 1 for s in states)
+    for state in states:
+        assert sum(predict(state, w) for w in vocabulary) + predict(state, b"unknown") == pytest.approx(1)
+
+
+def test_resampling_selects_by_brute_force(spark, rng):
+    """The kept documents are those of the k greatest sums of weight and noise, k from the posteriors."""
+    texts = [" ".join(rng.choice(("good", "fine", "text") if i % 2 else ("JUNK!!", "$$$", "x9")) for _ in range(rng.randrange(1, 6))) for i in range(200)]
+    docs = spark.createDataFrame([*enumerate(texts), (7, texts[7]), (None, texts[8])], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(0, 120)], "doc_id long, quality int")
+    rows = importance.importance(docs.repartition(4), marks).collect()
+    share = 0.5
+    k = min(len(rows), math.ceil(sum(min(1.0, share * math.exp(min(r["log_weight"], 50))) for r in rows) - 1e-9))
+    threshold = sorted((r["resample_key"] for r in rows), reverse=True)[k - 1]
+    assert 0 < k < len(rows) and all(r["kept"] == (r["resample_key"] >= threshold) for r in rows)
+    noise = [r["resample_key"] - r["log_weight"] for r in rows]
+    assert len(set(noise)) == len({r["doc_id"] for r in rows}) and -3 < np.mean(noise) - 0.5772 < 3
+
+
+def test_forward_pass_by_brute_force():
+    """A text's score: every filter at every place, the largest of each, one layer, the logistic function."""
+    rng = np.random.default_rng(1)
+    model = toxicity.Model(rng.normal(size=(toxicity.BUCKETS + 1, 8)).astype(np.float32), [rng.normal(size=(n * 8, 8)).astype(np.float32) for n in (1, 2, 3)], [rng.normal(size=8).astype(np.float32) for _ in range(3)], rng.normal(size=24).astype(np.float32), 0.1, {None: 0.5})
+    model.embeddings[-1] = 0
+    texts = [b"", b"one", b"two words", b"a b c d e f g", b"again " * 30]
+    got = toxicity.scored(model, pa.array(texts, pa.binary()))
+    for text, score in zip(texts, got, strict=True):
+        assert score == pytest.approx(plain.convolved(model, toxicity, text), abs=1e-5)
