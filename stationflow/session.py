@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
@@ -59,16 +60,26 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """
     folder = work_dir(df.sparkSession, label)
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    stored = df.sparkSession.read.schema(df.schema).parquet(folder)
+    stored._work_folder = folder
+    return stored
 
 
-def release() -> None:
-    """Delete the work folders of this process; results that still read them must be stored before.
+def mark() -> int:
+    """A point in the process; ``release`` takes it for the folders made since."""
+    return len(_FOLDERS)
 
-    It also runs when the process ends.
+
+def release(since: int = 0, keep: Iterable[DataFrame] = ()) -> None:
+    """Delete the work folders made after a ``mark``, but those that hold a written table of ``keep``.
+
+    Results that still read the others must be stored before. Without arguments all
+    folders of the process go, as they do when it ends.
     """
-    while _FOLDERS:
-        spark, folder = _FOLDERS.pop()
+    kept = {getattr(df, "_work_folder", None) for df in keep}
+    gone = [entry for entry in _FOLDERS[since:] if entry[1] not in kept]
+    _FOLDERS[since:] = [entry for entry in _FOLDERS[since:] if entry[1] in kept]
+    for spark, folder in gone:
         try:
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

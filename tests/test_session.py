@@ -31,3 +31,12 @@ def test_written_and_released(spark):
     folder = session._FOLDERS[-1][1]
     session.release()
     assert not os.path.exists(folder.removeprefix("file:")) and not session._FOLDERS
+
+
+def test_released_since_a_mark(spark):
+    first = session.written(spark.range(3), "first")
+    since = session.mark()
+    second, third = session.written(spark.range(4), "second"), session.written(spark.range(5), "third")
+    session.release(since, keep=[third])
+    assert first.count() == 3 and third.count() == 5
+    assert not os.path.exists(second._work_folder.removeprefix("file:")) and session.mark() == since + 1
