@@ -3,9 +3,10 @@
 1. Equal vectors become one node with a weight. Nodes start with the best of the
    vectors that share a random-hyperplane bucket; a bucket is dealt into blocks of
    bounded size, however many copies it holds.
-2. Rounds: every node sends its vector to its neighbours. Those who meet at a node
-   are neighbours of a neighbour and are compared there, all against all of a block
-   of bounded size; each keeps the best ones it meets. A list is saturated if its
+2. Rounds: every node is sent to the nodes it lists and to those that list it. All who
+   meet at a node, and the node itself, are neighbours or neighbours of a neighbour and
+   are compared there, all against all of a block of bounded size; each keeps the best
+   ones it meets. A list is saturated if its
    ``size`` entries are all over the threshold; it doubles until they are not.
    Each round also deals buckets of new hyperplanes, and all blocks by another hash.
 3. Audit: of the nodes in enlarged components (see 4), of the others with a link and
@@ -23,8 +24,11 @@
 
 So a third of all rows may be near copies of one vector: that costs a count, not
 its square. A null or zero vector, or one with null or non-finite components, links
-with nothing and is its own component. Vectors link within their length. Rows that
-repeat an id are rows of their own. Nothing but the audit's samples is collected.
+with nothing and is its own component. Vectors link within their length, whatever it
+is. Rows that repeat an id are rows of their own; a null id's component is that of its
+links. Of equally near neighbours those with smaller numbers stay in a list. An empty
+table gives an empty result; no other column is read, so none clashes. Nothing but the
+audit's samples is collected.
 """
 
 from __future__ import annotations
@@ -40,6 +44,7 @@ from pyspark.sql import DataFrame, functions as F
 from stationflow.llm.components import components
 from stationflow.llm.staging import staged
 from stationflow.operators.skew import one_per_key
+from stationflow.session import mark, release
 
 BLOCK, TABLES, AUDIT, MOST_ROUNDS, MOST_LIST = 256, 6, 1000, 10, 64
 _GRAPH = "node long, ids array<long>, sims array<double>"
@@ -79,16 +84,23 @@ def _matrix(column: pa.Array, kind: type = np.float64) -> np.ndarray:
     return np.array([np.frombuffer(x, kind) for x in column.to_pylist()])
 
 
-def _linked(nodes: DataFrame, dim: int, threshold: float, size: int, recall: float) -> DataFrame:
-    """(node, more, component): the weight of the nodes linked with each node, and its component."""
+def _linked(nodes: DataFrame, dim: int, threshold: float, size: int, recall: float, buckets: int = MOST_ROUNDS) -> DataFrame:
+    """(node, more, component): the weight of the nodes linked with each node, and its component.
+
+    New buckets are dealt in the first ``buckets`` rounds; later ones live on the lists alone.
+    """
     units = staged(nodes, "nodes-of-a-length")
-    count = units.count()
+    count, since = units.count(), mark()
     bits = max(0, math.ceil(math.log2(max(1, count / (BLOCK // 4)))))
     bits = min(bits, 30)
     graph, before = staged(_best(_first(units, dim, bits, size, 0), threshold, size), "graph"), 0
     for turn in range(1, MOST_ROUNDS + 1):
-        met = _met(graph, units, turn).unionByName(_first(units, dim, bits, size, turn))
+        if turn <= buckets:
+            met = _met(graph, units, MOST_LIST // 4, turn).unionByName(_first(units, dim, bits, size, turn))
+        else:
+            met = _met(graph, units, MOST_LIST // 4, turn)
         graph = staged(_best(met.unionByName(graph), threshold, size), "graph")
+        release(since, keep=[graph])  # the round before and its blocks
         edges = staged(_edges(graph, units, threshold), "edges")
         saturated = graph.filter(F.get("sims", F.lit(size - 1)) >= threshold).select("node")
         result = staged(_counted(edges, units, saturated, dim, threshold), "counted")
@@ -140,16 +152,19 @@ def _blocks(rows: DataFrame, key: str, size: int, turn: int = 0) -> DataFrame:
 _LISTS = pa.schema([("node", pa.int64()), ("ids", pa.list_(pa.int64())), ("sims", pa.list_(pa.float64()))])
 
 
-def _met(graph: DataFrame, units: DataFrame, turn: int) -> DataFrame:
-    """Neighbours of a common neighbour, compared at it."""
+def _met(graph: DataFrame, units: DataFrame, size: int, turn: int) -> DataFrame:
+    """The nodes that a node lists, those that list it and itself, compared with each other at it."""
     def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 small = [row.tobytes() for row in _matrix(batch["unit"]).astype(np.float32)]
                 yield pa.RecordBatch.from_arrays([batch["target"], batch["node"], pa.array(small, pa.binary())], names=["target", "node", "unit"])
 
-    sent = graph.select("node", F.explode("ids").alias("target")).join(units.select("node", "unit"), "node").select("target", "node", "unit")
-    return _blocks(sent.mapInArrow(narrow, "target long, node long, unit binary"), "target", MOST_LIST // 4, turn)
+    listed = graph.select(F.col("node").alias("target"), F.explode(F.array_append("ids", F.col("node"))).alias("node"))
+    # A node that lists another which lists it meets it at both, once.
+    sent = listed.unionByName(listed.select(F.col("node").alias("target"), F.col("target").alias("node"))).distinct()
+    sent = sent.join(units.select("node", "unit"), "node").select("target", "node", "unit")
+    return _blocks(sent.mapInArrow(narrow, "target long, node long, unit binary"), "target", size, turn)
 
 
 def _best(lists: DataFrame, threshold: float, size: int) -> DataFrame:

@@ -247,3 +247,24 @@ def test_links_beside_a_frequent_vector(spark, monkeypatch):
     np.fill_diagonal(near, False)
     got = {r["vec_id"]: r["n_links"] for r in neighbours.near_links(docs).collect()}
     assert [got[i] for i in range(len(out))] == near.sum(1).tolist()
+
+
+def test_neighbours_of_neighbours_suffice(spark, monkeypatch):
+    """Buckets at the start only: what the lists lead to finds nine links of ten, and more than the start did."""
+    monkeypatch.setattr(neighbours, "TABLES", 2)
+    rng = np.random.default_rng(5)
+    out = [c + rng.normal(0, 0.17, 24) for c in rng.normal(size=(120, 24)) for _ in range(8)]
+    x = np.array(out) / np.linalg.norm(out, axis=1)[:, None]
+    near = np.triu(x @ x.T >= 0.95, 1)
+    nodes = spark.createDataFrame([(i, u.tobytes(), 1) for i, u in enumerate(x)], "node long, unit binary, weight long")
+    graph = neighbours.staged(neighbours._best(neighbours._first(nodes, 24, 9, 10, 0), 0.95, 10), "graph")
+
+    def recall():
+        found = {(r["b"], r["a"]) for r in neighbours._edges(graph, nodes, 0.95).collect()}
+        assert all(near[a, b] for a, b in found)
+        return len(found) / near.sum()
+
+    before = recall()
+    for turn in (1, 2, 3):
+        graph = neighbours.staged(neighbours._best(neighbours._met(graph, nodes, 16, turn).unionByName(graph), 0.95, 10), "graph")
+    assert before < 0.9 < recall()
