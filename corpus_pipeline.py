@@ -1,7 +1,10 @@
 """The corpus pipeline: documents through five stages to packed sequences.
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept.
-All but the last return the columns of ``documents``.
+All but the last return the columns of ``documents``, and further columns that come
+with them, whatever their names. Null and empty texts are kept by the first four stages
+unless the classifier rejects them, and packed as their final 0; repeated rows are one
+group of copies; empty tables pass through; texts of any length are taken whole.
 """
 
 from __future__ import annotations

@@ -12,8 +12,9 @@ files, adaptive execution is free to split a host with a third of all pages. Lin
 not shuffled again. A line needs ``min_pages`` pages, so that a host with one page keeps it.
 
 A line is what stands between line feeds, compared as it is; empty lines are
-never boilerplate. A null text or host: the row stays as it is. An empty table
-gives an empty result. Other columns stay, but the four of the result win over
+never boilerplate. A null text or host: the row stays as it is. Repeated rows are
+pages each. A line at the ratio stays, so no ties are broken. Texts of any length are
+cut whole. An empty table gives an empty result. Other columns stay, but the four of the result win over
 columns of the same name.
 """
 

@@ -19,7 +19,10 @@ a global sort; rows that tie with it are kept together.
 
 A null or empty text has weight 0. Without labels there is no target and every
 document is kept. A document with several labels is clean if all say so. Rows
-that repeat an id have the same noise and, with equal texts, the same fate.
+that repeat an id have the same noise and, with equal texts, the same fate. Texts are
+read in slices of a megabyte, a longer one as a slice of its own. An empty table gives
+an empty result. ``importance`` reads the id and the text only; ``resample`` returns all
+columns, of which those named like its two results give way.
 """
 
 from __future__ import annotations
@@ -35,6 +38,8 @@ from stationflow.llm.staging import staged, text_bytes
 from stationflow.llm.tokens import Words, mix, words
 
 WORD_BUCKETS, SHAPE_BUCKETS = 1 << 14, 1 << 12
+#: Bytes of text whose n-grams a task holds at a time.
+_SLICE = 1 << 20
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _SIGN = np.zeros(256, bool)
 _SIGN[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
@@ -157,7 +162,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     raw, target = np.zeros(size, np.int64), np.zeros(size, np.int64)
     for batch in batches:
         flags = batch["_target"].to_numpy(zero_copy_only=False)
-        for w in words(batch["_bytes"]):
+        for w in words(batch["_bytes"], most=_SLICE):
             chosen = np.repeat(flags[w.rows.start : w.rows.stop], w.counts)
             for buckets, begin in zip(*_features(w), strict=True):
                 raw += np.bincount(buckets, minlength=size)
@@ -170,7 +175,7 @@ def _weights(batches: Iterator[pa.RecordBatch], model: np.ndarray, column: str,
     """The rows with their log weight; the texts go to the task once, and ``keep`` says they come back."""
     for batch in batches:
         out = np.zeros(batch.num_rows)
-        for w in words(batch[column].cast(pa.binary()).fill_null(b"")):
+        for w in words(batch[column].cast(pa.binary()).fill_null(b""), most=_SLICE):
             total = np.zeros(len(w.starts) + 1)
             for buckets, begin in zip(*_features(w), strict=True):
                 total[begin + 1] += model[buckets]

@@ -20,7 +20,12 @@ their sets' intersection is at least ``share`` hundredths of the union.
 
 Lists are joins and counts on tokens, combined before shuffles; a token that a
 third of all documents share stands at the end of every order. Nothing is capped.
-Rows that repeat an id are told apart by their text; a null text is empty.
+Rows that repeat an id are told apart by their text; a null text is empty. Texts of any
+length are read whole. Of equal choices the smallest hash, and of a component the
+smallest id counts. An empty table gives an empty result. ``near_duplicates`` reads the
+id and the text only; ``one_of_each`` returns all columns, whatever their names. Equal
+sets are known by one 64-bit hash. Links between different texts of one component are
+not listed: the result is components.
 """
 
 from __future__ import annotations

@@ -13,8 +13,10 @@ uses up a length.
 Pieces are numbered within their length by task and place in the task (from a
 written table, so a repeated task sees the same numbers); the number says which
 window and offset a piece has. Nothing is sorted globally or collected but the
-counts. A null text is empty: one piece, the final 0. Rows that repeat an id are
-packed one by one.
+counts. A null or empty text is one piece, the final 0; a text of any length is cut into
+full windows and a rest. Pieces of one length are alike, so their order settles ties.
+Rows that repeat an id are packed one by one. An empty table gives an empty result. Only
+the id and the text are read. Words are recognised by a 64-bit hash within a task.
 """
 
 from __future__ import annotations

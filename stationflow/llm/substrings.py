@@ -6,18 +6,22 @@ windows pick the same seed at the same place.
 
 1. Seeds: documents are joined on their winnowed seeds; one that occurs once in
    the corpus can't lie in a repeat and ends there.
-2. Extension: from each shared seed the match is extended to the left and right,
-   window by window, over all windows that picked the seed. Occurrences are not
-   paired: those that agree over a whole window form one class, counted by its
-   hash, so a passage with a million copies costs a million rows, not their square.
+2. Extension: an occurrence of a shared seed is extended to every window that picked
+   it, so many words to the left and the rest to the right. Occurrences are not paired
+   and not extended word by word: those that agree over a whole extension form one
+   class, counted by the window's 64-bit hash, so a passage with a million copies costs
+   a million rows, not their square.
 3. Overlapping repeated windows are merged; the runs are the maximal repeats of at
    least ``length`` words, and their words go.
 
 Counts are combined before each shuffle and the joins back are on unique keys, so
 adaptive execution can split a passage that a third of all rows share. Nothing is
-capped. A null text has no words and stays null; a text shorter than ``length``
-words loses nothing; other columns of the input are left out. Rows that repeat an
-id are told apart by their text (``staging.keyed``).
+capped. A null or empty text has no words and ``kept`` is ''; a text shorter than
+``length`` words loses nothing; a text of any length is read whole. All copies of a
+passage go, so there are no ties between them; repeated rows remove each other's
+passages. Rows that repeat an id are told apart by their text (``staging.keyed``). An
+empty table gives an empty result. Other columns of the input, clashing or not, are
+left out.
 """
 
 from __future__ import annotations

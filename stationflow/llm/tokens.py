@@ -73,9 +73,9 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[range, np
         at = to
 
 
-def words(texts: pa.Array, lower: bool = False, hashed: bool = True) -> Iterator[Words]:
+def words(texts: pa.Array, lower: bool = False, hashed: bool = True, most: int = SLICE_BYTES) -> Iterator[Words]:
     """The words of every text, slice by slice."""
-    for rows, places, data in slices(texts):
+    for rows, places, data in slices(texts, most):
         if lower:
             data = _LOWER[data]
         inside = np.zeros(len(data) + 2, bool)

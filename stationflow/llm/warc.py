@@ -16,7 +16,8 @@ grows with the entries, and the run is part of the range key, so a URL with a th
 of all captures is spread over ranges.
 
 A null payload is empty. A null URL has the empty key. Pages without id are written
-without it. Equal payloads under one id are all responses. An empty table gives no
+without it. Equal payloads under one id are all responses, so repeated rows are too.
+Payloads of any length are one record each. An empty table gives no
 archive and an empty result. Other columns are left out.
 """
 
