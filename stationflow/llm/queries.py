@@ -87,4 +87,4 @@ def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_importance_resampling, op2_decontamination, op3_substring_dedup, op4_jaccard_join, op5_line_dedup, op6_warc_index, op7_packing, op8_embedding_links, op9_suffix_tree, op10_toxicity, op11_url_rules, op12_embedding_whitening, op13_hard_negatives)}
-SQL = {"op5_line_dedup": boilerplate.boilerplate_sql("documents"), "op13_hard_negatives": negatives.negatives_sql("embeddings")}
+SQL = {"op5_line_dedup": boilerplate.boilerplate_sql("documents"), "op11_url_rules": urlrules.url_sql("pages", "labels", URL_RULES), "op13_hard_negatives": negatives.negatives_sql("embeddings")}

@@ -1,7 +1,6 @@
 """URL rules, whitening and hard negatives against plain versions."""
 
 import math
-import sys
 from itertools import combinations
 
 import numpy as np
@@ -245,14 +244,3 @@ def test_url_rules_of_little(spark, pages, labels):
         assert mined.names and all(r["verdict"] == "block" and r["mined_confidence"] == 1.0 for r in found)
     else:
         assert not mined.names
-
-
-def test_negatives_sql(spark):
-    sys.path.insert(0, "tests")
-    from oracle import compare, connect
-
-    from stationflow.llm.queries import QUERIES, SQL
-
-    folder = "/root/testdata/sf0.001"
-    same, rows, difference = compare(QUERIES["op13_hard_negatives"](spark, folder), connect(folder), SQL["op13_hard_negatives"])
-    assert same and rows, difference
