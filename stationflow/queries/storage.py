@@ -120,7 +120,7 @@ def snapshot_counts(spark, folder):
 def replace_series(spark, folder):
     events = table(spark, folder, "events")
     path = work_dir(spark, "stored-series")
-    write_series(canonical(events, "user_id", "ts", F.col("value"), F.lit("first")), path, bucket_rows=500)
+    write_series(canonical(events, "user_id", "ts", F.col("value"), F.lit("first")), path, bucket_rows=events.count() // 16 + 1)
     errors = events.where(F.col("event_type") == "error")
     # The store keeps its own size of buckets.
     write_series(canonical(errors, "user_id", "ts", F.lit(-1.0), F.lit("replaced")), path, bucket_rows=7)

@@ -92,7 +92,7 @@ def merged_orders(spark, folder):
     added = table(spark, folder, "customer").select((-1 - F.col("c_custkey")).alias("id"), F.lit("new").alias("status"), F.col("c_acctbal").alias("price"))
     store = Store(spark, work_dir(spark, "merged"))
     with store.begin() as load:
-        load.replace("orders", "id", orders, bucket_rows=500)
+        load.replace("orders", "id", orders, bucket_rows=orders.count() // 32 + 1)
         load.commit()
     with store.begin() as load:
         load.merge("orders", "id", changes, {"price": new("price")}, order=["price"], insert=False)
@@ -109,7 +109,8 @@ def merged_orders(spark, folder):
 """)
 def grown_series(spark, folder):
     """A store that grows fifty-fold in three loads; then some series are replaced. No bucket passes the bound."""
-    events, most = table(spark, folder, "events"), 200
+    events = table(spark, folder, "events")
+    most = events.count() // 50 + 1  # what the first load brings
     store = Store(spark, work_dir(spark, "grown"))
     first = canonical(events, "event_id", "ts", F.col("value"), F.lit("first"))
     again = canonical(events.where("event_id % 97 = 0"), "event_id", "ts", F.lit(-1.0), F.lit("again"))
