@@ -320,13 +320,13 @@ class Load(Mapping[str, DataFrame]):
         rows = written(rows.withColumn("_hash", F.xxhash64(key)), "changed")
         leaves = _split(rows, [(d, p) for d, p, _ in touched], entry["bucket_rows"])
         paths = [(d, p, f"{folder}/{_BUCKET}={d}-{p}" if n else None, n) for (d, p), n in leaves.items()]
-        listed = spark.createDataFrame(paths, _DIRECTORY)
+        listed = F.broadcast(spark.createDataFrame(paths, _DIRECTORY))  # the driver's own list
         new = _placed(rows, listed, sorted({d for d, _ in leaves})).withColumn(_BUCKET, F.concat_ws("-", "_depth", "_prefix"))
         rest = [f.name for f in schema if f.name != key and f.dataType.typeName() not in ("map", "variant")]
         # Rows of one key spread over tasks by a hash of the others, so no payload is in the sampled bounds.
         spread = new.repartitionByRange(_BUCKET, key, F.xxhash64(*rest) if rest else F.lit(0)).sortWithinPartitions(_BUCKET, key, *rest)
         spread.select(*schema.names, _BUCKET).write.partitionBy(_BUCKET).parquet(f"{self.store.folder}/{folder}")
-        gone = spark.createDataFrame([(d, p) for d, p, _ in touched], "_depth int, _prefix long")
+        gone = F.broadcast(spark.createDataFrame([(d, p) for d, p, _ in touched], "_depth int, _prefix long"))
         left = directory.join(gone, ["_depth", "_prefix"], "left_anti").unionByName(listed)
         path = f"{folder}/directory"
         left.coalesce(1).write.parquet(f"{self.store.folder}/{path}")
@@ -365,7 +365,7 @@ def _split(rows: DataFrame, buckets: Sequence[tuple[int, int]], most: int) -> di
     leaves: dict[tuple[int, int], int] = dict.fromkeys(buckets, 0)
     spark, pending = rows.sparkSession, list(buckets)
     while pending:
-        listed = spark.createDataFrame(pending, "_depth int, _prefix long")
+        listed = F.broadcast(spark.createDataFrame(pending, "_depth int, _prefix long"))
         held = _placed(rows.select("_hash"), listed, sorted({d for d, _ in pending}))
         next_bits = F.call_function("shiftrightunsigned", F.col("_hash"), F.col("_depth")).bitwiseAND(F.lit((1 << _COUNTED_BITS) - 1))
         counts = held.groupBy("_depth", "_prefix", next_bits.alias("_bits")).agg(F.count("*").alias("n"), (F.min("_hash") == F.max("_hash")).alias("one"))
