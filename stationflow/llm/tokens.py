@@ -71,6 +71,7 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[range, np
         to = min(to, n)
         yield range(at, to), places[at : to + 1] - places[at], data[places[at] : places[to]]
         at = to
+    pa.default_memory_pool().release_unused()  # workers live on through later stages
 
 
 def words(texts: pa.Array, lower: bool = False, hashed: bool = True, most: int = SLICE_BYTES) -> Iterator[Words]:
