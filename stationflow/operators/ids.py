@@ -45,8 +45,9 @@ def assign_ids(
     ``unique`` says the order columns identify a row and saves the hashes. The sorted
     places are written, because ranges are drawn from a sample and must be the same
     wherever they are read; a row per range turns them into one sequence, and the rows
-    take their numbers by file and place. Rows that come straight from files are left
-    there; others are written once first.
+    take their numbers by file and place, in a merge join: a file's path is hardly counted
+    in the sizes by which Spark would choose a broadcast, yet stands in each of its rows.
+    Rows that come straight from files are left there; others are written once first.
     """
     rows = df if _of_files(df) else written(df, "unnumbered")
     place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
@@ -65,7 +66,7 @@ def assign_ids(
     first = F.lit(start) if isinstance(start, int) else start
     numbered = placed.withColumn("_task", task).join(offsets, "_task")
     numbers = numbered.select("_file", "_row", (first + F.col("_offset") + row).cast("long").alias(name))
-    return rows.select(*df.columns, *place).join(numbers, ["_file", "_row"]).select(*df.columns, name)
+    return rows.select(*df.columns, *place).join(numbers.hint("merge"), ["_file", "_row"]).select(*df.columns, name)
 
 
 def _of_files(df: DataFrame) -> bool:

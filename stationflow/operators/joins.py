@@ -116,7 +116,9 @@ def carry_records(
     """Stored record chunks of the loaded series, ``top`` never NULL.
 
     With ``old_id`` the chunks' ids are source ids and become the series' new
-    ids; without it, ids are kept and chunks of unknown series left out.
+    ids; without it, ids are kept and chunks of unknown series left out. The chunks,
+    many for each series, aren't sorted for the join: a task holds its share of the
+    series, two numbers each, and the chunks pass by.
     """
     if first_chunk_only:
         chunks = chunks.where(F.col("num") == 0)
@@ -126,4 +128,4 @@ def carry_records(
     loaded = series.where(F.col(old_id).isNotNull()).select(
         F.col("id").alias("_new_id"), F.col(old_id).alias("_old_id")
     )
-    return chunks.join(loaded, F.col("id") == F.col("_old_id")).select(F.col("_new_id").alias("id"), *content)
+    return chunks.join(loaded.hint("shuffle_hash"), F.col("id") == F.col("_old_id")).select(F.col("_new_id").alias("id"), *content)

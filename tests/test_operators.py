@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stationflow.operators.documents import ordered_parts, ordered_text
 from stationflow.operators.ids import assign_ids, next_ids
-from stationflow.operators.joins import match_time_steps, members, not_in
+from stationflow.operators.joins import carry_records, match_time_steps, members, not_in
 from stationflow.operators.skew import one_per_key
 from stationflow.operators.tables import append, split_entity, tagged_rows
 from stationflow.operators.updates import get_or_create, new, update_from
@@ -112,6 +112,29 @@ def test_large_documents(spark):
     assert {r["k"]: (r["content"], r["n"]) for r in texts} == {k: ("\n".join(v), len(v)) for k, v in expected.items()}
 
 
+def test_rows_by_file_and_place_are_never_broadcast(spark, tmp_path):
+    """A file's path stands in each row; small as such tables look to the planner, a task would hold them whole."""
+    spark.range(0, 2000, 1, 3).write.parquet(str(tmp_path / "t"))
+    numbered = assign_ids(spark.read.parquet(str(tmp_path / "t")), ["id"], name="n", unique=True)
+    joins = [line for line in final_plan(numbered).splitlines() if "Join" in line and "_file" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins), joins
+    assert numbered.where("n <> id + 1").isEmpty() and numbered.count() == 2000
+
+
+def test_carried_chunks_are_not_sorted(spark, no_broadcast):
+    chunks = spark.range(0, 6000, 1, 3).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 100).alias("id"), F.lit(None).cast("string").alias("top"), F.lit("m").alias("middle"), F.lit("b").alias("bottom"))
+    series = spark.createDataFrame([(1007, 7), (1008, 8), (2008, 8), (1, None)], "id long, old long")
+    carried = carry_records(chunks, series, old_id="old")
+    plan = final_plan(carried)
+    assert "ShuffledHashJoin" in plan and "Sort [" not in plan, plan
+    want = {}
+    for i in range(6000):
+        old = 7 if i % 3 == 0 else i % 100
+        for new_id in {7: (1007,), 8: (1008, 2008)}.get(old, ()):
+            want[new_id] = want.get(new_id, 0) + 1
+    assert {r["id"]: r["count"] for r in carried.groupBy("id").count().collect()} == want
+
+
 @pytest.mark.parametrize("part_bytes", [1, 100, 5000, 1 << 26])
 def test_document_parts(spark, no_broadcast, part_bytes):
     """A part follows from the bytes before a line, not from partitions."""
