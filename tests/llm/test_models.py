@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import plain
 import pyarrow as pa
 import pytest
@@ -116,6 +117,27 @@ def test_toxicity_learns_nothing_from_held_out_rows(spark):
     assert all(r["predicted"] == r["doc_id"] % 2 for r in rows)
 
 
+def test_toxicity_learns_from_every_labelled_text(spark, monkeypatch):
+    """Texts of any length, in parts; counts of all of them, and thresholds from all spare ones."""
+    monkeypatch.setattr(toxicity, "PART_BYTES", 1 << 20)
+    filler = "some words that stand anywhere " * 1200  # more than 32 KiB
+    docs = spark.createDataFrame([(i, f"{filler} {'vile' if i % 2 else 'kind'}", "en" if i % 3 else None) for i in range(120)], "doc_id long, text string, lang string")
+    marks = spark.createDataFrame([(i, i % 2 if zlib.crc32(str(i).encode()) % 5 else 1 - i % 2) for i in range(120)], "doc_id long, toxic int")
+    rows = toxicity.toxicity(docs.repartition(3), marks, held(5, 0)).collect()
+    assert len(rows) == 120 and all(r["predicted"] == r["flagged"] == r["doc_id"] % 2 for r in rows)
+
+
+def test_best_threshold():
+    rng = np.random.default_rng(1)
+    score = rng.integers(0, 40, 300) / 40
+    toxic = rng.random(300) < score
+    place = np.minimum(score * toxicity.BINS, toxicity.BINS - 1).astype(int)
+    counts = pd.DataFrame({"bin": place, "n": 1, "toxic": toxic}).groupby("bin", as_index=False).sum()
+    found = toxicity._best_threshold(counts)
+    f1 = [2 * toxic[score >= x].sum() / ((score >= x).sum() + toxic.sum()) for x in np.arange(toxicity.BINS) / toxicity.BINS]
+    assert 2 * toxic[score >= found].sum() / ((score >= found).sum() + toxic.sum()) == max(f1)
+
+
 def test_words_in_blocks_score_alike(monkeypatch):
     rng = np.random.default_rng(0)
     model = toxicity.Model(rng.normal(size=(toxicity.BUCKETS + 1, 8)).astype(np.float32), [rng.normal(size=(n * 8, 8)).astype(np.float32) for n in (1, 2, 3)], [rng.normal(size=8).astype(np.float32) for _ in range(3)], rng.normal(size=24).astype(np.float32), 0.1, {None: 0.5})
