@@ -228,6 +228,31 @@ def test_url_rules(spark, rng):
         assert row["verdict"] == (URL_RULES[rule] if rule else "block" if fired else "allow")
 
 
+def test_url_rules_of_all_tokens(spark, rng):
+    """Without a width, rules of tokens that stray little too, of URLs of more tokens than the width."""
+    urls, bad = url_rows(rng)
+    for i in range(240):  # blocked where two tokens of twelve meet; every other pair of them strays as far
+        a, b = i % 2, i // 2 % 2
+        urls.append(f"https://w{i % 3}.one.two.three.four.org/five/six/{'seven' if a else 'eight'}/{'nine' if b else 'ten'}?u={i % 5}")
+        bad.append(int(a == b))
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame(list(enumerate(bad)), "doc_id long, bad int")
+    tokens = {r["page_id"]: r["t"] for r in pages.select("page_id", urlrules.tokens_of(F.col("url")).alias("t")).collect()}
+    part = [i for i, u in enumerate(urls) if u is not None]
+    n = {}
+    for i in part:
+        for t in tokens[i]:
+            n[t] = n.get(t, 0) + 1
+    baskets = [sorted(t for t in tokens[i] if n[t] >= 5) for i in part]
+    assert max(map(len, baskets)) > 12
+    order, rules = plain_rules(baskets, [bad[i] for i in part], 5)
+    mined = urlrules.mine(pages.repartition(3), labels, "page_id", "url", "doc_id", F.col("bad") == 1, width=None)
+    assert mined.names == [" ".join(p) for p in order] != []
+    assert list(zip(mined.rows, mined.blocked)) == [rules[p] for p in order]
+    capped = urlrules.mine(pages, labels, "page_id", "url", "doc_id", F.col("bad") == 1)
+    assert capped.names != mined.names
+
+
 def test_tokens(spark):
     row = spark.createDataFrame([("HTTPS://Blog.A.org/En/x-ä_1/x?b=C&b=C&d#Top#2",)], "url string").select(urlrules.tokens_of(F.col("url")).alias("t")).first()
     want = ["scheme=https", "host=blog.a.org", "label=blog", "label=a", "label=org", "path=en", "path=x", "path=ä", "path=1", "query=b=C", "query=d", "fragment=Top#2"]
