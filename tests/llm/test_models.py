@@ -11,6 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from stationflow import session
 from stationflow.llm import importance, suffixtree, toxicity
 from stationflow.llm.queries import QUERIES
 
@@ -181,6 +182,34 @@ def test_suffix_tree_by_brute_force(spark, odd, odd_rows, rng, monkeypatch, leas
     assert [got[i] for i in range(len(texts))] == pytest.approx(expected, abs=1e-9)
 
 
+@pytest.mark.parametrize("words_sent, hot, turns, block", [(1 << 22, 1 << 20, 4, 1), (0, 2, 2, 2), (40, 20, 3, 16)])
+def test_suffix_tree_past_what_tasks_hold(spark, odd, odd_rows, rng, monkeypatch, words_sent, hot, turns, block):
+    """Words that tasks don't hold, words dealt to all parts, turns, blocks of lengths; no n-gram's value sent. Rows may share an id."""
+    for name, value in {"_BLOCK": block, "_SENT": 1.0, "_SENT_WORDS": words_sent, "_HOT": hot, "_TURNS": turns, "_TURN_TOKENS": 1, "_PART_TOKENS": 200}.items():
+        monkeypatch.setattr(suffixtree, name, value)
+    texts = [r[1] for r in odd_rows if r[1] is None or len(r[1]) < 5000]
+    texts += [" ".join(rng.choice("aaabbcd") for _ in range(rng.randrange(30))) for _ in range(50)] + ["l m n o l m n o l m k"] * 9 + ["l m n o p q"] * 3
+    texts += [f"{x} s t u v w r s t u {y}" for x, y in ("ab", "cd")] * 5
+    rows = [(i // 2 if i > 20 else i, t) for i, t in enumerate(texts)] + [(None, "a b"), (0, texts[0])]
+    held_out = [i is not None and i % 5 == 0 for i, _ in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS key", "'x' AS ctx", "2 AS part", "3 AS _rare")
+    got = suffixtree.scores(docs.repartition(3), F.col("doc_id") % 5 == 0, least_count=3).collect()
+    expected, longest = plain.suffix_tree_scores([t for _, t in rows], held_out, 3, 0.05)
+    key = lambda x: (x[0] is None, x[0] or 0, x[1])
+    found, wanted = sorted(((r["doc_id"], r["score"]) for r in got), key=key), sorted(((i, e) for (i, _), e in zip(rows, expected, strict=True)), key=key)
+    assert longest >= 3 and [x[0] for x in found] == [x[0] for x in wanted]
+    assert [x[1] for x in found] == pytest.approx([x[1] for x in wanted], abs=1e-9)
+
+
+def test_suffix_tree_leaves_only_sums_on_disk(spark, documents):
+    """Its n-grams, words and the files of its shuffles are gone before the result is read."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, began = spark.conf.get(name), session.mark()
+    scores = suffixtree.scores(documents.limit(200), held(7, 2))
+    assert {f.rsplit("/", 1)[1].split("-")[0] for _, f in session._FOLDERS[began:]} == {"sums"}
+    assert spark.conf.get(name) == before and scores.count() == 200
+
+
 def test_states_sum_to_one():
     """The plain tree's predictions of all words and an unknown one, in every state."""
     texts = ["a b c a b d a b c", "a b c d", "b c a b c"] * 4
