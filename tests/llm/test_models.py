@@ -3,6 +3,7 @@
 import math
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
@@ -201,6 +202,30 @@ def test_suffix_tree_past_what_tasks_hold(spark, odd, odd_rows, rng, monkeypatch
     assert [x[1] for x in found] == pytest.approx([x[1] for x in wanted], abs=1e-9)
 
 
+def test_suffix_tree_looks_up_only_what_follows_states():
+    """A text asks for n-grams after contexts whose suffixes may be states, not for all that a filling bitmap lets through; in small batches."""
+    rng = np.random.default_rng(2)
+    half = rng.integers(0, 1 << 63, 16, np.uint64) << np.uint64(1)  # lets through half of all keys
+    states, grams = suffixtree.Bitmap(10, half), suffixtree.Bitmap(10, ~np.zeros(16, np.uint64))
+    none = np.zeros(0, np.uint64), np.zeros(0)
+    batch = pa.RecordBatch.from_pydict({"_key": [1, 2], "_text": pa.array([" ".join(map(str, range(5000))).encode(), b""], pa.binary())})
+    sent = SimpleNamespace(value=suffixtree.Sent(*none, states, grams, 300, 4))
+    asked = sum(len(x[3]) for x in suffixtree._opened(suffixtree._longer_grams([batch], sent)))
+    assert 0 < asked < 5 * 5000
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(suffixtree, "_FLUSH", 100)
+        flushed = [x for x in suffixtree._opened(suffixtree._longer_grams([batch], sent))]
+    assert sum(len(x[3]) for x in flushed) == asked
+
+
+def test_suffix_tree_takes_stretches_a_few_at_a_time(monkeypatch):
+    monkeypatch.setattr(suffixtree, "_WORDS", 10)
+    lists = [[*range(n)] for n in (4, 6, 25, 0, 3)]
+    batch = pa.RecordBatch.from_pydict({"words": pa.array(lists, pa.list_(pa.int64())), "keys": pa.array(lists, pa.list_(pa.int64()))})
+    found = list(suffixtree._stretched([batch]))
+    assert [len(x[0]) for x in found] == [10, 25, 3] and all(np.array_equal(x[0], x[2].astype(np.uint64)) and np.array_equal(x[0], x[1]) for x in found)
+
+
 def test_suffix_tree_leaves_only_sums_on_disk(spark, documents):
     """Its n-grams, words and the files of its shuffles are gone before the result is read."""
     name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
