@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from stationflow.llm import negatives, urlrules, whitening
-from stationflow.llm.queries import URL_RULES
+from stationflow.llm.queries import QUERIES, URL_RULES
 from pyspark.sql import functions as F
 
 VECTORS = "vec_id long, embedding array<float>, label int, id string, _v int, planes int, anchor string"
@@ -253,6 +253,27 @@ def test_url_rules_of_all_tokens(spark, rng):
     assert capped.names != mined.names
 
 
+def test_query_mines_all_tokens(spark, tmp_path):
+    """Blocked where two tokens meet that stray less alone than eight others of their URL."""
+    urls, bad = [], []
+    for i in range(480):
+        a, b, c = i % 2, i // 2 % 2, i // 4 % 3  # of c, a third is blocked less often: its tokens stray furthest
+        names = "/".join(f"{x}{min(c, 1)}" for x in ("o", "p", "q", "r", "s", "t", "u", "v", "w"))
+        urls.append(f"https://one.org/{names}/{'seven' if a else 'eight'}/{'nine' if b else 'ten'}")
+        bad.append(int(a == b and (c > 0 or i % 8 == 0)))
+    spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([(i, 1 - b, 0) for i, b in enumerate(bad)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    tokens = [["scheme=https", "host=one.org", "label=one", "label=org", *(f"path={w}" for w in u.split("/")[3:])] for u in urls]
+    order, rules = plain_rules(tokens, bad, 5)
+    first = [next((p for p in order if set(p) <= set(t)), None) for t in tokens]
+    found = {r["page_id"]: r for r in QUERIES["op11_url_rules"](spark, str(tmp_path)).collect()}
+    assert len(found) == len(urls) and 0 < sum(f is None for f in first) < len(urls)
+    for i, rule in enumerate(first):
+        assert found[i]["mined_rule"] == (" ".join(rule) if rule else None)
+        assert found[i]["verdict"] == ("block" if rule else "allow")
+        assert found[i]["mined_confidence"] == (pytest.approx(rules[rule][1] / rules[rule][0]) if rule else None)
+
+
 def test_tokens(spark):
     row = spark.createDataFrame([("HTTPS://Blog.A.org/En/x-ä_1/x?b=C&b=C&d#Top#2",)], "url string").select(urlrules.tokens_of(F.col("url")).alias("t")).first()
     want = ["scheme=https", "host=blog.a.org", "label=blog", "label=a", "label=org", "path=en", "path=x", "path=ä", "path=1", "query=b=C", "query=d", "fragment=Top#2"]
